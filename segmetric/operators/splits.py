@@ -1,11 +1,8 @@
 """Stratified folds and splits, class weights.
 
-A rank within a class is needed for exact per-class fold balance. A window
-``row_number() over (partition by label ...)`` would sort a whole class in one
-task, so the rank is built from a range-partitioned sort instead: rows are
-range-partitioned on (class, key), ranked inside their partition, and shifted
-by the class's row count in all earlier partitions (a table of at most
-partitions x classes rows).
+A rank within a class is needed for exact per-class fold balance. It comes
+from ``ordered.group_rank`` (range-partitioned, no single-task window), so a
+class holding most rows is still ranked by many tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from segmetric.operators.ordered import group_rank
 from segmetric.sources.tables import broadcast_if_bounded
 
 
@@ -25,26 +23,6 @@ def shuffle_key(row_id: str = "row_id", seed: int = 42, portable: bool = False)
     return F.xxhash64(F.lit(seed), F.col(row_id))
 
 
-def group_rank(df: DataFrame, group: list[str], order: list[Column | str],
-               num_partitions: int | None = None, rank_col: str = "grp_rank") -> DataFrame:
-    """0-based position of each row inside its group by ``order`` (total order required)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    okeys = [F.col(o) if isinstance(o, str) else o for o in order]
-    names = [f"__o{i}" for i in range(len(okeys))]
-    base = df.select("*", *[k.alias(nm) for k, nm in zip(okeys, names)])
-    parted = base.repartitionByRange(n, *group, *names).withColumn("__pid", F.spark_partition_id())
-    local_w = Window.partitionBy("__pid", *group).orderBy(*names)
-    # materialised once, so local ranks and partition counts see the same range bounds
-    ranked = parted.withColumn("__local", F.row_number().over(local_w) - 1).checkpoint(eager=True)
-    counts = ranked.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__cnt"))
-    ow = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(ow), F.lit(0))).drop("__cnt")
-    out = ranked.join(broadcast_if_bounded(offsets, 1_000_000), ["__pid", *group])
-    return out.withColumn(rank_col, (F.col("__off") + F.col("__local")).cast("long")).drop(
-        "__pid", "__local", "__off", *names)
-
-
 def stratified_folds(df: DataFrame, label: str = "label", k: int = 5, seed: int = 42,
                      row_id: str = "row_id", portable: bool = False) -> DataFrame:
     """fold = position in the shuffled class order mod k (class sizes per fold differ by <= 1)."""
