@@ -57,14 +57,16 @@ def _keyed_join(left: DataFrame, right: DataFrame, keys: list[str], extra=None,
 
 
 def order_statistics(long_df: DataFrame, keys: list[str], ranks: DataFrame,
-                     value_col: str = "x", buckets: int = _BUCKETS,
-                     final_rows: int = _FINAL_ROWS) -> DataFrame:
+                     value_col: str = "x", buckets: int | None = None,
+                     final_rows: int | None = None) -> DataFrame:
     """Exact k-th smallest values (0-based ``rank``) per key.
 
     ``ranks`` holds keys..., rank, lo, hi, below, cnt where [lo, hi] is a value
     window known to contain the rank and ``below`` counts values under lo.
     Returns keys..., rank, value.
     """
+    buckets = buckets or _BUCKETS
+    final_rows = final_rows or _FINAL_ROWS
     win_cols = keys + ["lo", "hi", "below"]
     rw = ranks
     for _ in range(_MAX_ROUNDS):
