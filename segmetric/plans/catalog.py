@@ -28,6 +28,7 @@ def load_all() -> None:
     from segmetric.plans import (  # noqa: F401
         q_cluster,
         q_eval,
+        q_models,
         q_prep,
         q_profile,
     )
