@@ -26,6 +26,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from segmetric.plans import (  # noqa: F401
+        q_assoc,
         q_cluster,
         q_eval,
         q_models,
