@@ -32,4 +32,5 @@ def load_all() -> None:
         q_models,
         q_prep,
         q_profile,
+        q_reports,
     )
