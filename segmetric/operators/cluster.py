@@ -118,52 +118,72 @@ def eps_candidates(vecs: DataFrame, min_samples: int, probs: list[float],
 
 
 # ---------------------------------------------------------------- connected components
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """(id, root) with root = smallest id of the component. ``edges`` (src, dst) undirected."""
+def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
+                         keys: list[str] | None = None) -> DataFrame:
+    """(keys..., id, root) with root = smallest id of the component.
+
+    ``edges`` (keys..., src, dst) are undirected; ``keys`` run many independent
+    graphs in one pass (e.g. one per parameter candidate)."""
+    keys = keys or []
     e = edges.where(F.col("src") != F.col("dst")).select(
-        F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()
+        *keys, F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()
     e = e.checkpoint(eager=True)
     for _ in range(max_rounds):
-        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(*keys, "u", "v").unionByName(e.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: larger neighbours of a node link to the node's smallest neighbour (or itself)
-        m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        ls = both.join(m, "u").where(F.col("v") > F.col("u")).select(
-            F.least("v", "m").alias("u"), F.greatest("v", "m").alias("v")).where(F.col("u") != F.col("v")).distinct()
+        m = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        ls = both.join(m, [*keys, "u"]).where(F.col("v") > F.col("u")).select(
+            *keys, F.least("v", "m").alias("u"), F.greatest("v", "m").alias("v")).where(
+            F.col("u") != F.col("v")).distinct()
         # small star: a node and its smaller neighbours link to the smallest of them
-        down = ls.select(F.col("v").alias("node"), F.col("u").alias("nb"))
-        m2 = down.groupBy("node").agg(F.min("nb").alias("m"))
-        ss = (down.join(m2, "node").select(F.col("nb").alias("a"), "m")
-              .unionByName(m2.select(F.col("node").alias("a"), "m"))
+        down = ls.select(*keys, F.col("v").alias("node"), F.col("u").alias("nb"))
+        m2 = down.groupBy(*keys, "node").agg(F.min("nb").alias("m"))
+        ss = (down.join(m2, [*keys, "node"]).select(*keys, F.col("nb").alias("a"), "m")
+              .unionByName(m2.select(*keys, F.col("node").alias("a"), "m"))
               .where(F.col("a") != F.col("m"))
-              .select(F.least("a", "m").alias("u"), F.greatest("a", "m").alias("v")).distinct())
+              .select(*keys, F.least("a", "m").alias("u"), F.greatest("a", "m").alias("v")).distinct())
         ss = ss.checkpoint(eager=True)
         if ss.exceptAll(e).isEmpty() and e.exceptAll(ss).isEmpty():
             e = ss
             break
         e = ss
-    root = e.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("root"))
-    out = vertices.select("id").join(root, "id", "left")
-    return out.select("id", F.coalesce("root", "id").alias("root"))
+    root = e.groupBy(*keys, F.col("v").alias("id")).agg(F.min("u").alias("root"))
+    out = vertices.select(*keys, "id").join(root, [*keys, "id"], "left")
+    return out.select(*keys, "id", F.coalesce("root", "id").alias("root"))
 
 
 # ---------------------------------------------------------------- K5 DBSCAN
-def dbscan_from_pairs(vecs: DataFrame, pairs: DataFrame, min_samples: int) -> DataFrame:
-    """Labels (id, cluster) from all ordered pairs within eps (self included); -1 = noise."""
-    counts = pairs.groupBy(F.col("i").alias("id")).agg(F.count(F.lit(1)).alias("nn"))
-    core = counts.where(F.col("nn") >= min_samples).select("id").checkpoint(eager=True)
-    c1 = core.select(F.col("id").alias("i"))
-    c2 = core.select(F.col("id").alias("j"))
-    core_edges = pairs.join(c1, "i").join(c2, "j").where(F.col("i") < F.col("j")).select(
-        F.col("i").alias("src"), F.col("j").alias("dst"))
-    comp = connected_components(core, core_edges)
-    roots = comp.select("root").distinct()
-    numbered = group_rank(roots, [], ["root"]).select("root", F.col("grp_rank").cast("int").alias("cluster"))
-    core_lab = comp.join(numbered, "root").select("id", "cluster")
+def dbscan_from_pairs(vecs: DataFrame, pairs: DataFrame, min_samples, keys: list[str] | None = None,
+                      key_values: list | None = None) -> DataFrame:
+    """Labels (keys..., id, cluster) from all ordered pairs (keys..., i, j) within
+    eps (self included); -1 = noise. ``min_samples`` is a number or a column
+    name present on ``pairs`` (one value per key). With ``keys`` (one column),
+    ``key_values`` lists the key values, and every candidate is labelled at once."""
+    keys = keys or []
+    if len(keys) > 1:
+        raise ValueError("one key column at most")
+    ms = F.col(min_samples) if isinstance(min_samples, str) else F.lit(int(min_samples))
+    counts = pairs.groupBy(*keys, F.col("i").alias("id")).agg(F.count(F.lit(1)).alias("nn"),
+                                                             F.first(ms).alias("__ms"))
+    core = counts.where(F.col("nn") >= F.col("__ms")).select(*keys, "id").checkpoint(eager=True)
+    c1 = core.select(*keys, F.col("id").alias("i"))
+    c2 = core.select(*keys, F.col("id").alias("j"))
+    core_edges = pairs.join(c1, [*keys, "i"]).join(c2, [*keys, "j"]).where(F.col("i") < F.col("j")).select(
+        *keys, F.col("i").alias("src"), F.col("j").alias("dst"))
+    comp = connected_components(core, core_edges, keys=keys)
+    roots = comp.select(*keys, "root").distinct()
+    numbered = group_rank(roots, keys, ["root"]).select(*keys, "root", F.col("grp_rank").cast("int").alias("cluster"))
+    core_lab = comp.join(numbered, [*keys, "root"]).select(*keys, "id", "cluster")
     # border rows: smallest cluster among core neighbours
-    nb = pairs.join(core_lab.select(F.col("id").alias("j"), "cluster"), "j").groupBy(F.col("i").alias("id")).agg(
-        F.min("cluster").alias("bc"))
-    lab = vecs.select("id").join(core_lab, "id", "left").join(nb, "id", "left")
-    return lab.select("id", F.coalesce("cluster", "bc", F.lit(-1)).cast("int").alias("cluster"))
+    nb = pairs.join(core_lab.select(*keys, F.col("id").alias("j"), "cluster"), [*keys, "j"]).groupBy(
+        *keys, F.col("i").alias("id")).agg(F.min("cluster").alias("bc"))
+    if keys:
+        # every row once per key value (a literal list, e.g. the candidate ids)
+        lab = vecs.select("id", F.explode(F.array(*[F.lit(v) for v in key_values])).alias(keys[0]))
+    else:
+        lab = vecs.select("id")
+    lab = lab.join(core_lab, [*keys, "id"], "left").join(nb, [*keys, "id"], "left")
+    return lab.select(*keys, "id", F.coalesce("cluster", "bc", F.lit(-1)).cast("int").alias("cluster"))
 
 
 def dbscan(vecs: DataFrame, eps: float, min_samples: int, p: int = 2, block_rows: int = 512) -> DataFrame:
@@ -189,20 +209,46 @@ def clustering_quality(vecs: DataFrame, labels: DataFrame, min_points: int = 10)
 
 def dbscan_search(vecs: DataFrame, min_samples_grid: list[int], eps_quantiles: list[float],
                   block_rows: int = 512):
-    """K6: DBSCAN over min_samples x eps candidates. One radius join at the
-    largest candidate keeps distances; each candidate filters it. Returns
-    (scores sorted by silhouette desc then n_clusters desc, chosen_eps, chosen_min_samples)."""
+    """K6: DBSCAN over min_samples x eps candidates, all candidates in one pass.
+
+    One kNN join (k = largest min_samples) gives every candidate list; one
+    radius join at the largest eps keeps distances; each pair is expanded to
+    the candidates whose eps covers it; cores, components and labels are keyed
+    by candidate; the silhouettes of all eligible candidates share one blocked
+    distance pass. Returns (scores sorted by silhouette desc then n_clusters
+    desc, chosen_eps, chosen_min_samples)."""
+    from segmetric.operators.distance import silhouette_batched
+
     spark = vecs.sparkSession
-    vecs = vecs.checkpoint(eager=True)
-    grid = {ms: [r["eps"] for r in eps_candidates(vecs, ms, eps_quantiles).collect()] for ms in min_samples_grid}
-    max_eps = max(e for c in grid.values() for e in c)
+    vecs = vecs.select("id", "vec").checkpoint(eager=True)
+    nn = knn_join(vecs, vecs, max(min_samples_grid), block_rows=block_rows).checkpoint(eager=True)
+    cands = []
+    for ms in min_samples_grid:
+        kd = nn.where(F.col("rank") == ms).select(F.lit("kdist").alias("column"), F.col("distance").alias("x"))
+        q = quantiles_long(kd, ["column"], eps_quantiles)
+        e = q.select(F.explode(F.array(*[F.col("value") * F.lit(m) for m in EPS_MULTIPLIERS])).alias("eps"))
+        for r in e.where(F.col("eps") > 0).distinct().orderBy("eps").collect():
+            cands.append((len(cands), float(r["eps"]), int(ms)))
+    max_eps = max(c[1] for c in cands)
     pairs = radius_join(vecs, max_eps, block_rows=block_rows).checkpoint(eager=True)
-    rows = []
-    for ms, cands in grid.items():
-        for eps in cands:
-            lab = dbscan_from_pairs(vecs, pairs.where(F.col("distance") <= eps), ms)
-            q = clustering_quality(vecs, lab).first()
-            rows.append((float(eps), float(ms), float(q["n_clusters"]), float(q["noise_ratio"]), q["silhouette"]))
+    arr = F.array(*[F.struct(F.lit(c).alias("cand"), F.lit(e).alias("eps"), F.lit(m).alias("ms"))
+                    for c, e, m in cands])
+    pc = pairs.select("i", "j", F.explode(F.filter(arr, lambda c: c["eps"] >= F.col("distance"))).alias("c"))
+    pc = pc.select(F.col("c.cand").alias("cand"), "i", "j", F.col("c.ms").alias("ms"))
+    ids = [c[0] for c in cands]
+    labels = dbscan_from_pairs(vecs, pc, "ms", keys=["cand"], key_values=ids).checkpoint(eager=True)
+    stats = {r["cand"]: r for r in labels.groupBy("cand").agg(
+        F.count_distinct(F.when(F.col("cluster") != -1, F.col("cluster"))).alias("n_clusters"),
+        F.avg((F.col("cluster") == -1).cast("double")).alias("noise_ratio"),
+        F.count(F.when(F.col("cluster") != -1, 1)).alias("n_core")).collect()}
+    eligible = [c for c in ids if stats[c]["n_clusters"] >= 2 and stats[c]["n_core"] >= 10]
+    sil = {}
+    if eligible:
+        nz = labels.where(F.col("cand").isin(eligible) & (F.col("cluster") != -1))
+        sil = {r["cand"]: r["silhouette"] for r in silhouette_batched(vecs, nz, eligible, block_rows=block_rows)
+               .collect()}
+    rows = [(e, float(m), float(stats[c]["n_clusters"]), float(stats[c]["noise_ratio"]), sil.get(c))
+            for c, e, m in cands]
     scores = spark.createDataFrame(rows, "eps double, min_samples double, n_clusters double, "
                                          "noise_ratio double, silhouette double")
     elig = [r for r in rows if r[2] >= 2 and r[3] < 0.8 and r[4] is not None]

@@ -188,3 +188,54 @@ def silhouette(df: DataFrame, p: int = 2, block_rows: int = 512) -> DataFrame:
                  F.count(F.lit(1)).alias("n"))
     return agg.select(F.when((F.col("k") >= 2) & (F.col("k") <= F.col("n") - 1), F.col("silhouette"))
                       .alias("silhouette"))
+
+
+def silhouette_batched(vecs: DataFrame, labels: DataFrame, keys: list, p: int = 2,
+                       block_rows: int = 512) -> DataFrame:
+    """Mean silhouette for many labelings at once: (cand, silhouette).
+
+    ``labels`` is (cand, id, cluster) over non-noise rows. Each distance block
+    is computed once and reused for every labeling (label arrays ride along
+    with the rows, -1 where a row is absent from a labeling)."""
+    wide = labels.groupBy("id").agg(F.array(*[
+        F.coalesce(F.max(F.when(F.col("cand") == F.lit(c), F.col("cluster"))), F.lit(-1)) for c in keys
+    ]).alias("labs"))
+    rows = vecs.select("id", "vec").join(wide, "id")
+    nb = _n_blocks(rows, block_rows)
+    lx, rx = _block_pairs(rows, rows, nb, nb)
+
+    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": [], "cand": [], "other": [], "dsum": [], "cnt": []})
+        d = pair_distances(_matrix(left["vec"]), _matrix(right["vec"]), p)
+        ll = np.stack(left["labs"].to_numpy()).astype(np.int64)
+        rl = np.stack(right["labs"].to_numpy()).astype(np.int64)
+        lid = left["id"].to_numpy()
+        parts = []
+        for c in range(ll.shape[1]):
+            lm = ll[:, c] != -1
+            if not lm.any():
+                continue
+            sub = d[lm]
+            for u in np.unique(rl[:, c][rl[:, c] != -1]):
+                m = rl[:, c] == u
+                parts.append(pd.DataFrame({"id": lid[lm], "cand": c, "other": int(u),
+                                           "dsum": sub[:, m].sum(axis=1), "cnt": int(m.sum())}))
+        if not parts:
+            return pd.DataFrame({"id": [], "cand": [], "other": [], "dsum": [], "cnt": []})
+        return pd.concat(parts, ignore_index=True)
+
+    part = lx.groupBy("lb", "rb").cogroup(rx.groupBy("lb", "rb")).applyInPandas(
+        sums, "id long, cand int, other int, dsum double, cnt long")
+    per = part.groupBy("id", "cand", "other").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+    pos = F.create_map(*[x for i, c in enumerate(keys) for x in (F.lit(i), F.lit(c))])
+    per = per.withColumn("cand", pos[F.col("cand")])
+    per = per.join(labels.select("cand", "id", "cluster"), ["cand", "id"])
+    own = F.when(F.col("other") == F.col("cluster"), F.col("dsum") / (F.col("cnt") - 1))
+    oth = F.when(F.col("other") != F.col("cluster"), F.col("dsum") / F.col("cnt"))
+    ab = per.groupBy("cand", "id", "cluster").agg(
+        F.max(own).alias("a"), F.min(oth).alias("b"),
+        F.max(F.when(F.col("other") == F.col("cluster"), F.col("cnt"))).alias("n"))
+    s = F.when((F.col("n") <= 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return ab.groupBy("cand").agg(F.avg(s).alias("silhouette"))

@@ -295,3 +295,10 @@ SELECT cluster, feature, category, round(pct, 6) AS pct_in_cluster, CAST(cnt AS
 def q_cluster_profile_categorical(spark, sf_dir):
     lab = segment_labels(spark, sf_dir).withColumn("cluster", F.col("cluster").cast("int"))
     return round_floats(K.profile_categorical(lab, PROFILE_CATEGORICAL))
+
+
+# ---------------------------------------------------------------- K6 (rows-only: a search table)
+@register("dbscan_search")
+def q_dbscan_search(spark, sf_dir):
+    scores, eps, ms = K.dbscan_search(embeddings(spark, sf_dir), [3, 5, 10], EPS_QUANTILES)
+    return scores.withColumn("chosen", (F.col("eps") == F.lit(eps)) & (F.col("min_samples") == F.lit(float(ms))))
