@@ -103,12 +103,37 @@ def positive_score(pred: DataFrame) -> DataFrame:
         "pred", F.col("prediction").cast("int"))
 
 
+def _reduce(spec: dict, train: DataFrame, data: DataFrame, label: str):
+    """An optional reduction stage fitted on the training rows only (so it is
+    refitted inside every CV fold): ("pca", k), ("lda",) or ("partial_lda", slots, passthrough)."""
+    from segmetric.operators.reduce import CentredPCA, DiscriminantAxis
+
+    red = spec.get("reduce")
+    if not red:
+        return train, data
+    if red[0] == "pca":
+        stage = CentredPCA(inputCol="features", outputCol="__z", k=int(red[1]))
+    elif red[0] == "lda":
+        stage = DiscriminantAxis(inputCol="features", outputCol="__z", labelCol=label)
+    else:
+        stage = DiscriminantAxis(inputCol="features", outputCol="__z", labelCol=label, slots=red[1],
+                                 passthrough=red[2])
+    m = stage.fit(train)
+
+    def swap(df):
+        return m.transform(df).drop("features").withColumnRenamed("__z", "features")
+
+    return swap(train), swap(data)
+
+
 def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "label") -> DataFrame:
     """Fit on ``train`` (weighted when applicable) and score ``data``.
 
     Inputs carry (row_id, features vector, label); returns (row_id, score, pred).
     Balanced weights are used for class_weight='balanced' or, as in the
-    reference, when the estimator takes weights and none was requested."""
+    reference, when the estimator takes weights and none was requested.
+    ``spec['reduce']`` adds a reduction stage fitted on ``train`` first."""
+    train, data = _reduce(spec, train, data, label)
     kind, params = spec["kind"], dict(spec.get("params", {}))
     if kind == "knn":
         tr = train.select(F.col("row_id").alias("id"), vector_to_array("features").alias("vec"),

@@ -213,3 +213,12 @@ def q_platt(spark, sf_dir):
 def q_isotonic(spark, sf_dir):
     data = _fold_frame(spark, sf_dir)
     return M.oof_scores(data, {"kind": "logreg", "params": {"C": 1.0}}, calibrate="isotonic", seed=SEED)
+
+
+@register("pca_grid_search")
+def q_pca_grid_search(spark, sf_dir):
+    """PCA refitted inside every fold, grid over components and C."""
+    data = _fold_frame(spark, sf_dir)
+    space = {"reduce": [("pca", 2), ("pca", 5)], "C": [0.1, 1.0]}
+    summary, params, _ = M.search(data, "logreg", space, n_iter=None)
+    return summary.join(params, "param_id")
