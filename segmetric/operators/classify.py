@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from segmetric.operators.distance import knn_join
 from segmetric.operators.splits import with_class_weight
+from segmetric.sources.tables import spread
 
 
 # ---------------------------------------------------------------- C2
@@ -49,6 +50,11 @@ def logistic(C: float = 1.0, penalty: str = "l2", max_iter: int = 5000, n_rows:
                               labelCol="label")
 
 
+# execution knobs only (no effect on the fitted trees): more nodes per
+# aggregation pass, node ids cached between levels, lineage cut periodically
+_TREE_SPEED = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+
+
 def _depth(d, default):
     return default if d is None else min(int(d), 30)
 
@@ -59,7 +65,8 @@ def random_forest(n_estimators: int = 400, max_depth=None, min_samples_leaf: int
     fss = {"sqrt": "sqrt", "log2": "log2", None: "all"}.get(max_features, str(max_features))
     return RandomForestClassifier(numTrees=int(n_estimators), maxDepth=_depth(max_depth, 30),
                                   minInstancesPerNode=int(min_samples_leaf), featureSubsetStrategy=fss,
-                                  bootstrap=bootstrap, seed=seed, featuresCol="features", labelCol="label")
+                                  bootstrap=bootstrap, seed=seed, featuresCol="features", labelCol="label",
+                                  **_TREE_SPEED)
 
 
 def extra_trees(**kw):
@@ -75,7 +82,7 @@ def boosted_trees(learning_rate: float = 0.1, max_depth=None, max_iter: int = 10
     return GBTClassifier(stepSize=learning_rate, maxDepth=_depth(max_depth, 5), maxIter=int(max_iter),
                          minInstancesPerNode=int(min_samples_leaf), subsamplingRate=subsample,
                          featureSubsetStrategy=fss, minInfoGain=float(gamma), maxBins=255, seed=seed,
-                         featuresCol="features", labelCol="label")
+                         featuresCol="features", labelCol="label", **_TREE_SPEED)
 
 
 def baseline_models(seed: int = 42, model_set: str = "original") -> dict[str, dict]:
@@ -142,7 +149,7 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
         s = knn_scores(tr, q, params.get("k", 5), params.get("weights", "uniform"), params.get("p", 2))
         return s.withColumnRenamed("id", "row_id")
     train = train.withColumn("label", F.col(label).cast("double"))
-    tw = with_class_weight(train, "label", "weight")
+    tw = spread(with_class_weight(train, "label", "weight"))
     if kind == "logreg":
         params["weight_sum"] = float(tw.agg(F.sum("weight")).first()[0])
     est = _BUILDERS[kind](**params).setWeightCol("weight")

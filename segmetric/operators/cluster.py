@@ -58,6 +58,9 @@ class KMeansFit:
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", n_init: int = 10, seed: int = 42,
                max_iter: int = 300) -> KMeansFit:
     """K1: best of ``n_init`` seeded runs by training cost (inertia)."""
+    from segmetric.sources.tables import spread
+
+    df = spread(df.select(features)).cache()
     best = None
     for s in range(n_init):
         m = KMeans(k=k, featuresCol=features, seed=seed + s, maxIter=max_iter, tol=1e-4,

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from segmetric.sources.tables import kernel_partitions
+
 _CHUNK = 4_000_000
 
 
@@ -55,11 +57,14 @@ def _block_pairs(left: DataFrame, right: DataFrame, nl: int, nr: int) -> tuple[D
     """Tag rows with their block and replicate them to every partner block."""
     left = left.select(*[F.col(c).alias(c) for c in left.columns])
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
-    lx = left.select("*", F.pmod(F.xxhash64("id"), F.lit(nl)).alias("lb"),
+    # both block ids are int on both sides, so equal keys hash to the same partition
+    lx = left.select("*", F.pmod(F.xxhash64("id"), F.lit(nl)).cast("int").alias("lb"),
                      F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("rb"))
-    rx = right.select("*", F.pmod(F.xxhash64("id"), F.lit(nr)).alias("rb"),
+    rx = right.select("*", F.pmod(F.xxhash64("id"), F.lit(nr)).cast("int").alias("rb"),
                       F.explode(F.sequence(F.lit(0), F.lit(nl - 1))).alias("lb"))
-    return lx, rx
+    # an explicit count keeps block pairs on separate tasks (AQE does not merge these)
+    n = kernel_partitions(left.sparkSession, nl * nr)
+    return lx.repartition(n, "lb", "rb"), rx.repartition(n, "lb", "rb")
 
 
 # ---------------------------------------------------------------- J4 exact kNN
@@ -145,6 +150,8 @@ def radius_join(df: DataFrame, eps: float, p: int = 2, grid_dims: int = 3, block
         return pd.DataFrame({"i": l["id"].to_numpy()[a], "j": r["id"].to_numpy()[b], "distance": d[a, b]})
 
     keys = ["lc", "ls", "rc", "rs"]
+    n = kernel_partitions(df.sparkSession, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    left, right = left.repartition(n, *keys), right.repartition(n, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         within, "i long, j long, distance double")
 

@@ -32,6 +32,21 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a compute-heavy stage (model fits, numpy kernels) at least one
+    partition per core. Large inputs already have more and are left as they are."""
+    sc = df.sparkSession.sparkContext
+    n = min_partitions or sc.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def kernel_partitions(spark: SparkSession, groups: int) -> int:
+    """Partition count for a cogroup over ``groups`` keys: one key per task up to
+    4 x cores, never fewer than the configured shuffle partitions."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, min(groups, 4 * spark.sparkContext.defaultParallelism))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Table sink (no index column exists in Spark, so none is written)."""
     w = df.write.mode("overwrite")
