@@ -56,19 +56,24 @@ class KMeansFit:
 
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", n_init: int = 10, seed: int = 42,
-               max_iter: int = 300) -> KMeansFit:
-    """K1: best of ``n_init`` seeded runs by training cost (inertia)."""
+               max_iter: int = 300, parallelism: int = 8) -> KMeansFit:
+    """K1: best of ``n_init`` seeded runs by training cost (inertia); the runs are
+    independent Spark jobs submitted concurrently. Ties keep the earliest seed."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from segmetric.sources.tables import spread
 
-    df = spread(df.select(features)).cache()
-    best = None
-    for s in range(n_init):
+    data = spread(df.select(features)).cache()
+
+    def run(s):
         m = KMeans(k=k, featuresCol=features, seed=seed + s, maxIter=max_iter, tol=1e-4,
-                   predictionCol="cluster").fit(df)
-        cost = m.summary.trainingCost
-        if best is None or cost < best.cost:
-            best = KMeansFit(m, cost, seed + s)
-    return best
+                   predictionCol="cluster").fit(data)
+        return KMeansFit(m, m.summary.trainingCost, seed + s)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fits = list(pool.map(run, range(n_init)))
+    data.unpersist()
+    return min(fits, key=lambda f: (f.cost, f.seed))
 
 
 def canonical_labels(fit: KMeansFit, df: DataFrame, id_col: str = "row_id") -> DataFrame:
@@ -134,17 +139,17 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     for _ in range(max_rounds):
         both = e.select(*keys, "u", "v").unionByName(e.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: larger neighbours of a node link to the node's smallest neighbour (or itself)
-        m = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        ls = both.join(m, [*keys, "u"]).where(F.col("v") > F.col("u")).select(
-            *keys, F.least("v", "m").alias("u"), F.greatest("v", "m").alias("v")).where(
+        mn = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.col("u")).alias("__mn"))
+        ls = both.join(mn, [*keys, "u"]).where(F.col("v") > F.col("u")).select(
+            *keys, F.least("v", "__mn").alias("u"), F.greatest("v", "__mn").alias("v")).where(
             F.col("u") != F.col("v")).distinct()
         # small star: a node and its smaller neighbours link to the smallest of them
         down = ls.select(*keys, F.col("v").alias("node"), F.col("u").alias("nb"))
-        m2 = down.groupBy(*keys, "node").agg(F.min("nb").alias("m"))
-        ss = (down.join(m2, [*keys, "node"]).select(*keys, F.col("nb").alias("a"), "m")
-              .unionByName(m2.select(*keys, F.col("node").alias("a"), "m"))
-              .where(F.col("a") != F.col("m"))
-              .select(*keys, F.least("a", "m").alias("u"), F.greatest("a", "m").alias("v")).distinct())
+        mn2 = down.groupBy(*keys, "node").agg(F.min("nb").alias("__mn"))
+        ss = (down.join(mn2, [*keys, "node"]).select(*keys, F.col("nb").alias("a"), "__mn")
+              .unionByName(mn2.select(*keys, F.col("node").alias("a"), "__mn"))
+              .where(F.col("a") != F.col("__mn"))
+              .select(*keys, F.least("a", "__mn").alias("u"), F.greatest("a", "__mn").alias("v")).distinct())
         ss = ss.checkpoint(eager=True)
         if ss.exceptAll(e).isEmpty() and e.exceptAll(ss).isEmpty():
             e = ss
@@ -210,16 +215,98 @@ def clustering_quality(vecs: DataFrame, labels: DataFrame, min_points: int = 10)
         "n_clusters long, noise_ratio double, silhouette double")
 
 
+def mreach_forest(vecs: DataFrame, kd: DataFrame, n_graphs: int, max_w: float, block_rows: int = 512,
+                  max_rounds: int = 64) -> DataFrame:
+    """Minimum spanning forest (m, u, v, w) of every mutual-reachability graph m
+    (weights max(kd_u, kd_v, d) up to ``max_w``), by Boruvka rounds: each round
+    takes the cheapest outgoing edge of every component (blocked distance
+    kernel, no pair table) and merges the linked components."""
+    from segmetric.operators.distance import mreach_min_edges
+
+    ms = list(range(n_graphs))
+    kds = kd.groupBy("id").agg(F.array(*[F.max(F.when(F.col("m") == m, F.col("kd"))) for m in ms]).alias("kds"))
+    comp = vecs.select("id", F.explode(F.array(*[F.lit(m) for m in ms])).alias("m"), F.col("id").alias("c"))
+    comp = comp.checkpoint(eager=True)
+    forest = []
+    for _ in range(max_rounds):
+        comps = comp.groupBy("id").agg(F.array(*[F.max(F.when(F.col("m") == m, F.col("c"))) for m in ms])
+                                       .alias("comps"))
+        rows = vecs.select("id", "vec").join(kds, "id").join(comps, "id")
+        cand = mreach_min_edges(rows, max_w, block_rows=block_rows)
+        edge = F.struct("w", F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+        cu = comp.select("m", F.col("id").alias("u"), F.col("c").alias("cu"))
+        best = cand.join(cu, ["m", "u"]).groupBy("m", "cu").agg(F.min(edge).alias("e"))
+        best = best.select("m", F.col("e.a").alias("a"), F.col("e.b").alias("b"), F.col("e.w").alias("w"))
+        best = best.distinct().checkpoint(eager=True)
+        if best.isEmpty():
+            break
+        forest.append(best)
+        ca = comp.select("m", F.col("id").alias("a"), F.col("c").alias("src"))
+        cb = comp.select("m", F.col("id").alias("b"), F.col("c").alias("dst"))
+        links = best.join(ca, ["m", "a"]).join(cb, ["m", "b"]).select("m", "src", "dst")
+        nodes = comp.select("m", F.col("c").alias("id")).distinct()
+        merged = connected_components(nodes, links, keys=["m"]).select("m", F.col("id").alias("c"), "root")
+        comp = comp.join(merged, ["m", "c"]).select("id", "m", F.col("root").alias("c")).checkpoint(eager=True)
+    out = forest[0] if forest else vecs.sparkSession.createDataFrame([], "m int, a long, b long, w double")
+    for f in forest[1:]:
+        out = out.unionByName(f)
+    return out.select("m", F.col("a").alias("u"), F.col("b").alias("v"), "w")
+
+
+def dbscan_grid_labels(vecs: DataFrame, nn: DataFrame, cands: list[tuple], ms_list: list[int],
+                       block_rows: int = 512) -> DataFrame:
+    """(cand, id, cluster) for every candidate (cand, eps, min_samples) at once.
+
+    Core rows of a candidate are those whose min_samples-th neighbour (the row
+    itself first) is within eps; two cores are linked iff their
+    mutual-reachability weight is <= eps, so the core components are the
+    forest edges of weight <= eps. A border row can only reach cores closer
+    than its own core distance, i.e. among its min_samples - 1 nearest rows."""
+    gi = {ms: i for i, ms in enumerate(ms_list)}
+    kd = nn.select(F.col("query_id").alias("id"), "rank", "distance")
+    kd = kd.where(F.col("rank").isin(ms_list)).select(
+        "id", F.create_map(*[x for ms, i in gi.items() for x in (F.lit(ms), F.lit(i))])[F.col("rank")].alias("m"),
+        F.col("distance").alias("kd")).checkpoint(eager=True)
+    max_eps = max(c[1] for c in cands)
+    forest = mreach_forest(vecs, kd, len(ms_list), max_eps, block_rows)
+    arr = F.array(*[F.struct(F.lit(c).alias("cand"), F.lit(e).alias("eps"), F.lit(gi[m]).alias("g"))
+                    for c, e, m in cands])
+    # core rows per candidate
+    core = kd.select("id", "m", "kd", F.explode(F.filter(arr, lambda c: (c["g"] == F.col("m")) & (c["eps"] >= F.col("kd"))))
+                     .alias("c")).select(F.col("c.cand").alias("cand"), "id").checkpoint(eager=True)
+    # forest edges active per candidate
+    act = forest.select("u", "v", "w", "m", F.explode(F.filter(arr, lambda c: (c["g"] == F.col("m"))
+                                                              & (c["eps"] >= F.col("w")))).alias("c"))
+    edges = act.select(F.col("c.cand").alias("cand"), F.col("u").alias("src"), F.col("v").alias("dst"))
+    comp = connected_components(core, edges, keys=["cand"])
+    roots = comp.select("cand", "root").distinct()
+    numbered = group_rank(roots, ["cand"], ["root"]).select("cand", "root", F.col("grp_rank").cast("int").alias("cluster"))
+    core_lab = comp.join(numbered, ["cand", "root"]).select("cand", "id", "cluster").checkpoint(eager=True)
+    # border rows: nearest rows strictly inside the row's own core distance
+    own = kd.select(F.col("id").alias("b"), F.col("m").alias("m"), F.col("kd").alias("kd_b"))
+    near = nn.select(F.col("query_id").alias("b"), F.col("neighbor_id").alias("j"), F.col("distance").alias("d"))
+    other = kd.select(F.col("id").alias("j"), F.col("m").alias("m"), F.col("kd").alias("kd_j"))
+    near = near.join(own, "b").where(F.col("d") < F.col("kd_b")).join(other, ["j", "m"])
+    bc = near.select("b", "j", F.explode(F.filter(arr, lambda c: (c["g"] == F.col("m")) & (c["eps"] >= F.col("d"))
+                                                  & (c["eps"] >= F.col("kd_j")) & (c["eps"] < F.col("kd_b"))))
+                     .alias("c")).select(F.col("c.cand").alias("cand"), "b", "j")
+    border = bc.join(core_lab.select("cand", F.col("id").alias("j"), "cluster"), ["cand", "j"]).groupBy(
+        "cand", F.col("b").alias("id")).agg(F.min("cluster").alias("bc"))
+    ids = vecs.select("id", F.explode(F.array(*[F.lit(c[0]) for c in cands])).alias("cand"))
+    lab = ids.join(core_lab, ["cand", "id"], "left").join(border, ["cand", "id"], "left")
+    return lab.select("cand", "id", F.coalesce("cluster", "bc", F.lit(-1)).cast("int").alias("cluster"))
+
+
 def dbscan_search(vecs: DataFrame, min_samples_grid: list[int], eps_quantiles: list[float],
-                  block_rows: int = 512):
+                  block_rows: int = 512, strict: bool = True):
     """K6: DBSCAN over min_samples x eps candidates, all candidates in one pass.
 
-    One kNN join (k = largest min_samples) gives every candidate list; one
-    radius join at the largest eps keeps distances; each pair is expanded to
-    the candidates whose eps covers it; cores, components and labels are keyed
-    by candidate; the silhouettes of all eligible candidates share one blocked
-    distance pass. Returns (scores sorted by silhouette desc then n_clusters
-    desc, chosen_eps, chosen_min_samples)."""
+    One kNN join (k = largest min_samples) gives the core distances and every
+    candidate list; a mutual-reachability spanning forest per min_samples gives
+    the core components of every eps; the silhouettes of all eligible
+    candidates share one blocked distance pass. Returns (scores sorted by
+    silhouette desc then n_clusters desc, chosen_eps, chosen_min_samples); when
+    every candidate is degenerate it raises, or with ``strict=False`` returns no choice."""
     from segmetric.operators.distance import silhouette_batched
 
     spark = vecs.sparkSession
@@ -227,19 +314,13 @@ def dbscan_search(vecs: DataFrame, min_samples_grid: list[int], eps_quantiles: l
     nn = knn_join(vecs, vecs, max(min_samples_grid), block_rows=block_rows).checkpoint(eager=True)
     cands = []
     for ms in min_samples_grid:
-        kd = nn.where(F.col("rank") == ms).select(F.lit("kdist").alias("column"), F.col("distance").alias("x"))
-        q = quantiles_long(kd, ["column"], eps_quantiles)
+        kdm = nn.where(F.col("rank") == ms).select(F.lit("kdist").alias("column"), F.col("distance").alias("x"))
+        q = quantiles_long(kdm, ["column"], eps_quantiles)
         e = q.select(F.explode(F.array(*[F.col("value") * F.lit(m) for m in EPS_MULTIPLIERS])).alias("eps"))
         for r in e.where(F.col("eps") > 0).distinct().orderBy("eps").collect():
             cands.append((len(cands), float(r["eps"]), int(ms)))
-    max_eps = max(c[1] for c in cands)
-    pairs = radius_join(vecs, max_eps, block_rows=block_rows).checkpoint(eager=True)
-    arr = F.array(*[F.struct(F.lit(c).alias("cand"), F.lit(e).alias("eps"), F.lit(m).alias("ms"))
-                    for c, e, m in cands])
-    pc = pairs.select("i", "j", F.explode(F.filter(arr, lambda c: c["eps"] >= F.col("distance"))).alias("c"))
-    pc = pc.select(F.col("c.cand").alias("cand"), "i", "j", F.col("c.ms").alias("ms"))
     ids = [c[0] for c in cands]
-    labels = dbscan_from_pairs(vecs, pc, "ms", keys=["cand"], key_values=ids).checkpoint(eager=True)
+    labels = dbscan_grid_labels(vecs, nn, cands, list(min_samples_grid), block_rows).checkpoint(eager=True)
     stats = {r["cand"]: r for r in labels.groupBy("cand").agg(
         F.count_distinct(F.when(F.col("cluster") != -1, F.col("cluster"))).alias("n_clusters"),
         F.avg((F.col("cluster") == -1).cast("double")).alias("noise_ratio"),
@@ -254,15 +335,17 @@ def dbscan_search(vecs: DataFrame, min_samples_grid: list[int], eps_quantiles: l
             for c, e, m in cands]
     scores = spark.createDataFrame(rows, "eps double, min_samples double, n_clusters double, "
                                          "noise_ratio double, silhouette double")
+    ordered = scores.orderBy(F.desc_nulls_last("silhouette"), F.desc("n_clusters"), "eps", "min_samples")
     elig = [r for r in rows if r[2] >= 2 and r[3] < 0.8 and r[4] is not None]
     if elig:
         best = sorted(elig, key=lambda r: (-r[4], r[3], r[1], r[0]))[0]
     else:
         nondeg = [r for r in rows if r[2] >= 2]
         if not nondeg:
-            raise ValueError("DBSCAN search produced only degenerate results (n_clusters < 2).")
+            if strict:
+                raise ValueError("DBSCAN search produced only degenerate results (n_clusters < 2).")
+            return ordered, None, None
         best = sorted(nondeg, key=lambda r: (r[4] is None, -(r[4] or 0.0), r[3], r[1], r[0]))[0]
-    ordered = scores.orderBy(F.desc_nulls_last("silhouette"), F.desc("n_clusters"), "eps", "min_samples")
     return ordered, best[0], int(best[1])
 
 

@@ -246,3 +246,38 @@ def silhouette_batched(vecs: DataFrame, labels: DataFrame, keys: list, p: int =
     s = F.when((F.col("n") <= 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     return ab.groupBy("cand").agg(F.avg(s).alias("silhouette"))
+
+
+def mreach_min_edges(rows: DataFrame, max_w: float, p: int = 2, block_rows: int = 512) -> DataFrame:
+    """Cheapest outgoing mutual-reachability edge per row and per graph.
+
+    ``rows`` is (id, vec, kds array<double>, comps array<long>): for graph m the
+    core distance kds[m] and the current component comps[m]. The weight of
+    (u, v) in graph m is max(kds_u[m], kds_v[m], d(u, v)); edges inside a
+    component or heavier than ``max_w`` are ignored. Returns (m, u, v, w) with
+    ties broken by the smaller v; nothing is materialised per pair."""
+    nb = _n_blocks(rows, block_rows)
+    lx, rx = _block_pairs(rows, rows, nb, nb)
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"m": [], "u": [], "v": [], "w": []})
+        right = right.sort_values("id", kind="stable")
+        d = pair_distances(_matrix(left["vec"]), _matrix(right["vec"]), p)
+        kl, kr = _matrix(left["kds"]), _matrix(right["kds"])
+        cl = np.stack(left["comps"].to_numpy()).astype(np.int64)
+        cr = np.stack(right["comps"].to_numpy()).astype(np.int64)
+        lid, rid = left["id"].to_numpy(), right["id"].to_numpy()
+        parts = []
+        for m in range(kl.shape[1]):
+            w = np.maximum(np.maximum(kl[:, m][:, None], kr[:, m][None, :]), d)
+            w[(cl[:, m][:, None] == cr[:, m][None, :]) | (w > max_w)] = np.inf
+            j = np.argmin(w, axis=1)  # first minimum = smallest right id among ties
+            wj = w[np.arange(len(lid)), j]
+            ok = np.isfinite(wj)
+            if ok.any():
+                parts.append(pd.DataFrame({"m": m, "u": lid[ok], "v": rid[j[ok]], "w": wj[ok]}))
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"m": [], "u": [], "v": [], "w": []})
+
+    return lx.groupBy("lb", "rb").cogroup(rx.groupBy("lb", "rb")).applyInPandas(
+        best, "m int, u long, v long, w double")

@@ -300,5 +300,7 @@ def q_cluster_profile_categorical(spark, sf_dir):
 # ---------------------------------------------------------------- K6 (rows-only: a search table)
 @register("dbscan_search")
 def q_dbscan_search(spark, sf_dir):
-    scores, eps, ms = K.dbscan_search(embeddings(spark, sf_dir), [3, 5, 10], EPS_QUANTILES)
+    scores, eps, ms = K.dbscan_search(embeddings(spark, sf_dir), [3, 5, 10], EPS_QUANTILES, strict=False)
+    if eps is None:  # every candidate degenerate: the table is reported, nothing is chosen
+        return scores.withColumn("chosen", F.lit(False))
     return scores.withColumn("chosen", (F.col("eps") == F.lit(eps)) & (F.col("min_samples") == F.lit(float(ms))))

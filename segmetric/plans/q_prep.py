@@ -206,3 +206,17 @@ FROM c
 def q_class_weights(spark, sf_dir):
     train = customer_profile(spark, sf_dir).where(F.col("split") == "train")
     return round_floats(W.class_weights(train.withColumnRenamed("lapsed", "label"), "label"))
+
+
+# ------------------------------------------------------------------ U1
+@register("train_test_union", f"""
+WITH {CP_SQL}
+SELECT row_id, split, lapsed AS label FROM cp WHERE split = 'train'
+UNION ALL SELECT row_id, split, lapsed FROM cp WHERE split = 'test'
+""")
+def q_train_test_union(spark, sf_dir):
+    """The train and test rows of the prepared matrix, each with its split flag."""
+    out, _ = processed(spark, sf_dir)
+    tagged = [out.where(F.col("split") == s).select("row_id", F.lit(s).alias("split"), "label")
+              for s in ("train", "test")]
+    return tagged[0].unionByName(tagged[1])
