@@ -152,7 +152,38 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
     tw = spread(with_class_weight(train, "label", "weight"))
     if kind == "logreg":
         params["weight_sum"] = float(tw.agg(F.sum("weight")).first()[0])
+    if kind in ("rf", "et") and int(params.get("n_estimators", 400)) > _TREES_PER_JOB:
+        return _forest_in_parts(kind, params, tw, data)
     est = _BUILDERS[kind](**params).setWeightCol("weight")
     model = est.fit(tw)
     out = positive_score(model.transform(data))
     return out.select("row_id", "score", "pred")
+
+
+_TREES_PER_JOB = 100
+
+
+def _forest_in_parts(kind: str, params: dict, tw: DataFrame, data: DataFrame) -> DataFrame:
+    """A forest is an average of trees: fit it as several smaller forests
+    (distinct seeds) in concurrent jobs and average their class-1
+    probabilities weighted by tree count; class 1 wins only on a strict majority."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    n = int(params.get("n_estimators", 400))
+    parts = -(-n // _TREES_PER_JOB)
+    sizes = [n // parts + (1 if i < n % parts else 0) for i in range(parts)]
+    seed = int(params.get("seed", 42))
+    tw = tw.cache()
+
+    def fit(i):
+        p = dict(params, n_estimators=sizes[i], seed=seed + 7919 * i)
+        return _BUILDERS[kind](**p).setWeightCol("weight").fit(tw)
+
+    with ThreadPoolExecutor(max_workers=parts) as pool:
+        models = list(pool.map(fit, range(parts)))
+    out = data
+    for i, m in enumerate(models):
+        m = m.copy().setProbabilityCol(f"__p{i}").setRawPredictionCol(f"__r{i}").setPredictionCol(f"__y{i}")
+        out = m.transform(out).withColumn(f"__p{i}", vector_to_array(f"__p{i}")[1]).drop(f"__r{i}", f"__y{i}")
+    score = sum((F.col(f"__p{i}") * (sizes[i] / n) for i in range(parts)), F.lit(0.0))
+    return out.select("row_id", score.alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("int"))
