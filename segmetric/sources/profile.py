@@ -36,11 +36,15 @@ def customer_profile(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     lines = read_table(spark, sf_dir, "lineitem",
                        ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
+    # money is summed exactly as integers (cents; 1e-4 units for the discounted
+    # price): the result does not depend on summation order, engine or layout
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    disc_pct = F.round(F.col("l_discount") * 100).cast("long")
     per_order = lines.groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("qty"),
-        F.sum("l_extendedprice").alias("gross"),
-        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
-        F.sum("l_discount").alias("disc"),
+        F.sum(cents).alias("gross"),
+        F.sum(cents * (100 - disc_pct)).alias("net"),
+        F.sum(disc_pct).alias("disc"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum((F.col("l_returnflag") == "R").cast("long")).alias("returned"),
     )
@@ -56,8 +60,8 @@ def customer_profile(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
         F.max(when_before(F.col("o_orderdate"))).alias("last_order"),
         F.max((~before).cast("int")).alias("active_after"),
         F.sum(when_before(F.coalesce("qty", F.lit(0.0)))).alias("total_qty"),
-        F.sum(when_before(F.coalesce("gross", F.lit(0.0)))).alias("gross_price"),
-        F.sum(when_before(F.coalesce("net", F.lit(0.0)))).alias("net_price"),
+        F.sum(when_before(F.coalesce("gross", F.lit(0)))).alias("gross_cents"),
+        F.sum(when_before(F.coalesce("net", F.lit(0)))).alias("net_units"),
         F.sum(when_before(F.col("disc"))).alias("disc_sum"),
         F.sum(when_before(F.col("n_lines"))).alias("line_count"),
         F.sum(when_before(F.coalesce("returned", F.lit(0)))).alias("returned_lines"),
@@ -79,9 +83,9 @@ def customer_profile(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
         F.datediff(cut_date, F.to_date("last_order")).cast("int").alias("recency_days"),
         F.col("n_orders").cast("long"),
         F.col("total_qty").cast("double"),
-        F.col("gross_price").cast("double"),
-        F.col("net_price").cast("double"),
-        F.try_divide(F.col("disc_sum"), F.col("line_count")).cast("double").alias("avg_discount"),
+        (F.col("gross_cents").cast("double") / 100.0).alias("gross_price"),
+        (F.col("net_units").cast("double") / 10000.0).alias("net_price"),
+        F.try_divide(F.col("disc_sum").cast("double"), F.col("line_count") * 100.0).alias("avg_discount"),
         F.col("returned_lines").cast("long"),
         (1 - F.coalesce(F.col("active_after"), F.lit(0))).cast("int").alias(LABEL),
         F.when(F.col("row_id") % TEST_MODULUS == 0, "test").otherwise("train").alias("split"),
@@ -92,8 +96,9 @@ def customer_profile(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
 CP_SQL = f"""
 cp AS (
   WITH per_order AS (
-    SELECT l_orderkey, sum(l_quantity) AS qty, sum(l_extendedprice) AS gross,
-           sum(l_extendedprice * (1 - l_discount)) AS net, sum(l_discount) AS disc,
+    SELECT l_orderkey, sum(l_quantity) AS qty, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS gross,
+           sum(CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT))) AS net,
+           sum(CAST(round(l_discount * 100) AS BIGINT)) AS disc,
            count(*) AS n_lines, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned
     FROM lineitem GROUP BY l_orderkey),
   per_cust AS (
@@ -117,9 +122,9 @@ cp AS (
     CAST(date_diff('day', CAST(first_order AS DATE), DATE '{CUTOFF}') AS INTEGER) AS tenure_days,
     CAST(date_diff('day', CAST(last_order AS DATE), DATE '{CUTOFF}') AS INTEGER) AS recency_days,
     CAST(n_orders AS BIGINT) AS n_orders,
-    CAST(total_qty AS DOUBLE) AS total_qty, CAST(gross_price AS DOUBLE) AS gross_price,
-    CAST(net_price AS DOUBLE) AS net_price,
-    CAST(disc_sum / line_count AS DOUBLE) AS avg_discount,
+    CAST(total_qty AS DOUBLE) AS total_qty, CAST(gross_price AS DOUBLE) / 100.0 AS gross_price,
+    CAST(net_price AS DOUBLE) / 10000.0 AS net_price,
+    CAST(disc_sum AS DOUBLE) / (line_count * 100.0) AS avg_discount,
     CAST(returned_lines AS BIGINT) AS returned_lines,
     CAST(1 - coalesce(active_after, 0) AS INTEGER) AS lapsed,
     CASE WHEN p.row_id % {TEST_MODULUS} = 0 THEN 'test' ELSE 'train' END AS split

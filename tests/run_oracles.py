@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -25,7 +26,7 @@ def main() -> int:
         try:
             df = fn(spark, sf_dir)
             if name in sql:
-                ok, msg = compare(df, sql[name], sf_dir, con)
+                ok, msg = compare(df, sql[name], sf_dir, con, digits=int(os.environ.get("ORACLE_DIGITS", "5")))
             else:
                 ok, msg = True, f"rows-only {df.count()} rows"
         except Exception as e:  # report and continue
