@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from segmetric.operators.distance import knn_join, radius_join, silhouette
 from segmetric.operators.ordered import group_rank
 from segmetric.operators.quantiles import quantiles_long, to_long
-from segmetric.sources.tables import broadcast_if_bounded
 
 
 # ---------------------------------------------------------------- K-Means

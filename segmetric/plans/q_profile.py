@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from segmetric.functions.scalar import encode_label, safe_name
+from segmetric.functions.scalar import safe_name
 from segmetric.operators import profiling as P
 from segmetric.operators.validate import load_labelled
 from segmetric.plans.catalog import register
