@@ -40,14 +40,15 @@ def knn_scores(train: DataFrame, query: DataFrame, k: int, weights: str = "dista
 
 # ---------------------------------------------------------------- C1, C3-C7
 def logistic(C: float = 1.0, penalty: str = "l2", max_iter: int = 5000, n_rows: float | None = None,
-             weight_sum: float | None = None, **_):
+             weight_sum: float | None = None, tol: float = 1e-4, **_):
     """liblinear's objective C * sum(loss) + penalty maps to Spark's mean loss
     + regParam * penalty with regParam = 1 / (C * sum of weights). Spark does not
-    penalise the intercept (documented deviation)."""
+    penalise the intercept (documented deviation). tol is the reference solver's
+    default stopping tolerance."""
     denom = weight_sum if weight_sum is not None else (n_rows or 1.0)
     return LogisticRegression(maxIter=min(max_iter, 1000), regParam=1.0 / (C * denom), standardization=False,
                               elasticNetParam=1.0 if penalty == "l1" else 0.0, featuresCol="features",
-                              labelCol="label")
+                              labelCol="label", tol=tol)
 
 
 # execution knobs only (no effect on the fitted trees): more nodes per

@@ -89,15 +89,22 @@ def kmeans_sweep(df: DataFrame, k_values: list[int], features: str = "features",
     Returns (scores, chosen_k, fits). The chosen fit is reused, not refitted."""
     from pyspark.ml.functions import vector_to_array
 
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = df.sparkSession
-    rows, fits = [], {}
     vecs = df.select(F.col(id_col).alias("id"), vector_to_array(features).alias("vec")).cache()
-    for k in k_values:
+
+    def one(k):
         fit = fit_kmeans(df, k, features, n_init, seed)
-        fits[k] = fit
         lab = canonical_labels(fit, df, id_col).withColumnRenamed(id_col, "id")
         sil = silhouette(vecs.join(lab, "id")).first()["silhouette"] if k >= 2 else None
-        rows.append((float(k), sil, float(fit.cost)))
+        return k, fit, (float(k), sil, float(fit.cost))
+
+    # every k is an independent set of jobs
+    with ThreadPoolExecutor(max_workers=max(1, len(k_values))) as pool:
+        done = list(pool.map(one, k_values))
+    fits = {k: f for k, f, _ in done}
+    rows = [r for _, _, r in done]
     scores = spark.createDataFrame(rows, "k double, silhouette double, inertia double")
     ok = [r for r in rows if r[1] is not None]
     chosen = int(sorted(ok, key=lambda r: (-r[1], r[0]))[0][0]) if ok else int(k_values[0])
