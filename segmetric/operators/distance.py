@@ -281,3 +281,13 @@ def mreach_min_edges(rows: DataFrame, max_w: float, p: int = 2, block_rows: int
 
     return lx.groupBy("lb", "rb").cogroup(rx.groupBy("lb", "rb")).applyInPandas(
         best, "m int, u long, v long, w double")
+
+
+def silhouette_squared(df: DataFrame, features: str = "features", cluster: str = "cluster") -> float:
+    """Scale option for K3: Spark's O(n k) silhouette with squared Euclidean
+    distance (not the exact Euclidean value). ``df`` has a vector column."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    ev = ClusteringEvaluator(featuresCol=features, predictionCol=cluster, metricName="silhouette",
+                             distanceMeasure="squaredEuclidean")
+    return float(ev.evaluate(df.withColumn(cluster, F.col(cluster).cast("double"))))

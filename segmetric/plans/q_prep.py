@@ -220,3 +220,38 @@ def q_train_test_union(spark, sf_dir):
     tagged = [out.where(F.col("split") == s).select("row_id", F.lit(s).alias("split"), "label")
               for s in ("train", "test")]
     return tagged[0].unionByName(tagged[1])
+
+
+# ------------------------------------------------------------------ P13
+@register("feature_partition", f"""
+WITH {CP_SQL}, {_imputed_sql()}, {_vocab_sql()}
+SELECT CASE WHEN starts_with(name, 'num__') THEN 'projected' ELSE 'passthrough' END AS block, idx, name,
+       CAST(count(*) OVER (PARTITION BY starts_with(name, 'num__')) AS BIGINT) AS block_size
+FROM names WHERE starts_with(name, 'num__') OR starts_with(name, 'cat__mktsegment_')
+""")
+def q_feature_partition(spark, sf_dir):
+    """Ordered split of the prepared columns into the block projected on the
+    discriminant axis (num__*) and the indicator block passed through."""
+    out, _ = processed(spark, sf_dir)
+    names = X.feature_names(out)
+    rows = [("projected" if n.startswith("num__") else "passthrough", i, n) for i, n in enumerate(names)
+            if n.startswith("num__") or n.startswith("cat__mktsegment_")]
+    sizes = {b: sum(1 for r in rows if r[0] == b) for b in ("projected", "passthrough")}
+    return spark.createDataFrame([(b, i, n, sizes[b]) for b, i, n in rows],
+                                 "block string, idx int, name string, block_size long")
+
+
+# ------------------------------------------------------------------ A22
+@register("prep_meta", f"""
+WITH {CP_SQL}, {_imputed_sql()}, {_vocab_sql()}
+SELECT CAST((SELECT count(*) FROM cp WHERE split = 'train') AS BIGINT) AS n_train,
+       CAST((SELECT count(*) FROM cp WHERE split = 'test') AS BIGINT) AS n_test,
+       CAST((SELECT count(*) FROM names) AS BIGINT) AS n_features
+""")
+def q_prep_meta(spark, sf_dir):
+    """Row counts per split and the number of prepared features (one row)."""
+    out, _ = processed(spark, sf_dir)
+    n_features = len(X.feature_names(out))
+    return out.agg(F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
+                   F.count(F.when(F.col("split") == "test", 1)).alias("n_test")).select(
+        "n_train", "n_test", F.lit(n_features).cast("long").alias("n_features"))
