@@ -110,3 +110,21 @@ def test_connected_components_chain(spark):
     verts = spark.range(0, 102).select(F.col("id"))
     cc = {r.id: r.root for r in K.connected_components(verts, edges).collect()}
     assert all(cc[i] == 0 for i in range(61)) and cc[100] == cc[101] == 100 and cc[80] == 80
+
+
+def test_scale_options_run(spark):
+    """LSH kNN can only miss neighbours (its k-th distance is never smaller);
+    the squared-distance silhouette is in [-1, 1]."""
+    x = _fixture(120)
+    v = _points(spark, x)
+    exact = {r.query_id: r.distance for r in D.knn_join(v, v, 3, block_rows=40).where("rank = 3").collect()}
+    approx = D.approx_knn_join(v, v, 3, bucket_length=1.0, num_hash_tables=4)
+    for r in approx.where("rank = 3").collect():
+        assert r.distance >= exact[r.query_id] - 1e-12
+    from pyspark.ml.functions import array_to_vector
+
+    lab = (x[:, 0] > 0).astype(int)
+    df = spark.createDataFrame([(i, [float(a) for a in p], int(c)) for i, (p, c) in enumerate(zip(x, lab))],
+                               "id long, vec array<double>, cluster int").withColumn("features", array_to_vector("vec"))
+    s = D.silhouette_squared(df)
+    assert -1.0 <= s <= 1.0
