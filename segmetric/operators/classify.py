@@ -150,18 +150,22 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
         s = knn_scores(tr, q, params.get("k", 5), params.get("weights", "uniform"), params.get("p", 2))
         return s.withColumnRenamed("id", "row_id")
     train = train.withColumn("label", F.col(label).cast("double"))
-    tw = spread(with_class_weight(train, "label", "weight"))
+    # boosting and L-BFGS make many cheap passes: a few larger tasks; forests: one task per core
+    tw = with_class_weight(train, "label", "weight")
+    tw = spread(tw, rows_per_task=_ROWS_PER_TASK if kind in ("gbt", "logreg") else None).cache()
     if kind == "logreg":
         params["weight_sum"] = float(tw.agg(F.sum("weight")).first()[0])
     if kind in ("rf", "et") and int(params.get("n_estimators", 400)) > _TREES_PER_JOB:
         return _forest_in_parts(kind, params, tw, data)
     est = _BUILDERS[kind](**params).setWeightCol("weight")
     model = est.fit(tw)
+    tw.unpersist()
     out = positive_score(model.transform(data))
     return out.select("row_id", "score", "pred")
 
 
 _TREES_PER_JOB = 100
+_ROWS_PER_TASK = 5000
 
 
 def _forest_in_parts(kind: str, params: dict, tw: DataFrame, data: DataFrame) -> DataFrame:

@@ -32,11 +32,15 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a compute-heavy stage (model fits, numpy kernels) at least one
-    partition per core. Large inputs already have more and are left as they are."""
+def spread(df: DataFrame, min_partitions: int | None = None, rows_per_task: int | None = None) -> DataFrame:
+    """Give a compute-heavy stage (model fits, numpy kernels) enough partitions:
+    one per core, or with ``rows_per_task`` (for learners that make many cheap
+    passes) about that many rows per task, up to one per core. Inputs that
+    already have more partitions are left as they are."""
     sc = df.sparkSession.sparkContext
     n = min_partitions or sc.defaultParallelism
+    if rows_per_task:
+        n = min(n, max(1, -(-df.count() // rows_per_task)))
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
