@@ -31,7 +31,7 @@ LABEL = "lapsed"
 
 
 def customer_profile(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) -> DataFrame:
-    cut = F.lit(cutoff).cast("timestamp")
+    cut = F.lit(cutoff).cast("timestamp_ntz")  # same type as the order dates: no session time zone involved
     cut_date = F.lit(cutoff).cast("date")
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     lines = read_table(spark, sf_dir, "lineitem",
