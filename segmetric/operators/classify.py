@@ -1,7 +1,7 @@
 """Classifiers.
 
 Linear and tree models are Spark ML estimators configured to match the
-reference's parameters; the nearest-neighbour classifier is built on the exact
+original project's parameters; the nearest-neighbour classifier is built on the exact
 kNN join. Balanced sample weights go through ``weightCol`` exactly when the
 estimator accepts weights and no class weighting is requested (C9).
 """
@@ -43,7 +43,7 @@ def logistic(C: float = 1.0, penalty: str = "l2", max_iter: int = 5000, n_rows:
              weight_sum: float | None = None, tol: float = 1e-4, **_):
     """liblinear's objective C * sum(loss) + penalty maps to Spark's mean loss
     + regParam * penalty with regParam = 1 / (C * sum of weights). Spark does not
-    penalise the intercept (documented deviation). tol is the reference solver's
+    penalise the intercept (documented deviation). tol is the original solver's
     default stopping tolerance."""
     denom = weight_sum if weight_sum is not None else (n_rows or 1.0)
     return LogisticRegression(maxIter=min(max_iter, 1000), regParam=1.0 / (C * denom), standardization=False,
@@ -139,7 +139,7 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
 
     Inputs carry (row_id, features vector, label); returns (row_id, score, pred).
     Balanced weights are used for class_weight='balanced' or, as in the
-    reference, when the estimator takes weights and none was requested.
+    original project, when the estimator takes weights and none was requested.
     ``spec['reduce']`` adds a reduction stage fitted on ``train`` first."""
     train, data = _reduce(spec, train, data, label)
     kind, params = spec["kind"], dict(spec.get("params", {}))

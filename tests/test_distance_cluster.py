@@ -23,7 +23,7 @@ def _fixture(n=220, seed=7):
 
 
 def _sk_dbscan(x, eps, ms):
-    """Sequential DBSCAN in id order (reference semantics)."""
+    """Sequential DBSCAN in id order (the semantics to match)."""
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     nb = [np.nonzero(d[i] <= eps)[0] for i in range(len(x))]
     core = np.array([len(v) >= ms for v in nb])
