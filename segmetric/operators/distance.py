@@ -67,6 +67,33 @@ def _block_pairs(left: DataFrame, right: DataFrame, nl: int, nr: int) -> tuple[D
     return lx.repartition(n, "lb", "rb"), rx.repartition(n, "lb", "rb")
 
 
+def _self_block_pairs(df: DataFrame, block_rows: int, best, empty, p: int) -> DataFrame:
+    """Blocked self-join over pairs lb <= rb: a row of block b is copied to the
+    left of (b, r) for r >= b and to the right of (l, b) for l <= b (nb + 1
+    copies instead of 2 nb); each off-diagonal distance block serves both its
+    row block and its column block."""
+    nb = _n_blocks(df, block_rows)
+    base = df.select(*[F.col(c).alias(c) for c in df.columns])
+    blk = F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")
+    lx = base.select("*", blk.alias("lb")).select("*", F.explode(F.sequence(F.col("lb"), F.lit(nb - 1))).alias("rb"))
+    rx = base.select("*", blk.alias("rb")).select("*", F.explode(F.sequence(F.lit(0), F.col("rb"))).alias("lb"))
+    n = kernel_partitions(df.sparkSession, nb * (nb + 1) // 2)
+    lx, rx = lx.repartition(n, "lb", "rb"), rx.repartition(n, "lb", "rb")
+
+    def kernel(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return empty
+        d = pair_distances(_matrix(left["vec"]), _matrix(right["vec"]), p)
+        lid, rid = left["id"].to_numpy(), right["id"].to_numpy()
+        out = best(lid, rid, d)
+        if key[0] != key[1]:
+            out = pd.concat([out, best(rid, lid, d.T)], ignore_index=True)
+        return out
+
+    return lx.groupBy("lb", "rb").cogroup(rx.groupBy("lb", "rb")).applyInPandas(
+        kernel, "query_id long, neighbor_id long, distance double")
+
+
 # ---------------------------------------------------------------- J4 exact kNN
 def knn_join(query: DataFrame, ref: DataFrame, k: int, p: int = 2, block_rows: int = 512,
              exclude_self: bool = False) -> DataFrame:
@@ -74,25 +101,32 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, p: int = 2, block_rows: i
 
     Inputs are (id, vec). Ties are broken by neighbour id; the query row itself
     counts as a neighbour when it is in ``ref`` unless ``exclude_self``."""
-    nl, nr = _n_blocks(query, block_rows), _n_blocks(ref, block_rows)
-    lx, rx = _block_pairs(query.select("id", "vec"), ref.select("id", "vec"), nl, nr)
-
-    def top_k(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []})
-        lid, rid = left["id"].to_numpy(), right["id"].to_numpy()
-        d = pair_distances(_matrix(left["vec"]), _matrix(right["vec"]), p)
+    def best(qid, rid, d):
         if exclude_self:
-            d = np.where(lid[:, None] == rid[None, :], np.inf, d)
+            d = np.where(qid[:, None] == rid[None, :], np.inf, d)
         kk = min(k, len(rid))
         order = np.lexsort((np.broadcast_to(rid, d.shape), d), axis=-1)[:, :kk]
         dist = np.take_along_axis(d, order, axis=1)
-        out = pd.DataFrame({"query_id": np.repeat(lid, kk), "neighbor_id": rid[order].ravel(),
+        out = pd.DataFrame({"query_id": np.repeat(qid, kk), "neighbor_id": rid[order].ravel(),
                             "distance": dist.ravel()})
         return out[np.isfinite(out["distance"])]
 
-    part = lx.groupBy("lb", "rb").cogroup(rx.groupBy("lb", "rb")).applyInPandas(
-        top_k, "query_id long, neighbor_id long, distance double")
+    empty = pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []})
+    if query is ref:
+        # self join: only block pairs lb <= rb; an off-diagonal pair answers both sides
+        part = _self_block_pairs(query.select("id", "vec"), block_rows, best, empty, p)
+    else:
+        nl, nr = _n_blocks(query, block_rows), _n_blocks(ref, block_rows)
+        lx, rx = _block_pairs(query.select("id", "vec"), ref.select("id", "vec"), nl, nr)
+
+        def top_k(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if left.empty or right.empty:
+                return empty
+            d = pair_distances(_matrix(left["vec"]), _matrix(right["vec"]), p)
+            return best(left["id"].to_numpy(), right["id"].to_numpy(), d)
+
+        part = lx.groupBy("lb", "rb").cogroup(rx.groupBy("lb", "rb")).applyInPandas(
+            top_k, "query_id long, neighbor_id long, distance double")
     w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
     return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

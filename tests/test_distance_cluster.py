@@ -128,3 +128,13 @@ def test_scale_options_run(spark):
                                "id long, vec array<double>, cluster int").withColumn("features", array_to_vector("vec"))
     s = D.silhouette_squared(df)
     assert -1.0 <= s <= 1.0
+
+
+def test_self_knn_symmetric_blocks_match_general_path(spark):
+    """The self-join path (pairs lb <= rb) equals the general two-sided path."""
+    x = _fixture(170, seed=11)
+    v = _points(spark, x)
+    w = _points(spark, x)  # a different object: general path
+    a = sorted((r.query_id, r.rank, r.neighbor_id) for r in D.knn_join(v, v, 5, block_rows=23).collect())
+    b = sorted((r.query_id, r.rank, r.neighbor_id) for r in D.knn_join(v, w, 5, block_rows=23).collect())
+    assert a == b and len(a) == 5 * len(x)
