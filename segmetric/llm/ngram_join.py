@@ -29,18 +29,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmetric.llm.common import small_side, written
+from segmetric.llm.common import discard, small_side, written
 from segmetric.llm.components import components
 from segmetric.llm.wordhash import batched_word_hashes, distinct_sorted, mix, shingle_hashes
 
 #: Shingles whose hash lies below this share of the range are counted and come first.
 COUNTED_SHARE = 0.4
-#: Shingles of a tree's sets together; a bucket with more is split into blocks.
-BLOCK_SHINGLES = 150_000
+#: Shingles of a tree's sets together; a bucket with more is split into blocks, by size of
+#: the sets first (classes of this ratio), then by hash.
+BLOCK_SHINGLES = 50_000
+SIZE_RATIO = 1.15
 #: Buckets that each set enters in step 2.
 HOMES = 2
 #: Searching sets that meet one tree at a time in step 3.
-SEARCHES = 256
+SEARCHES = 128
 
 _SIGNED = np.int64
 
@@ -130,7 +132,7 @@ def _emit_sets(width: int, percent: int):
 
 
 def _emit_full(width: int):
-    schema = pa.schema([("sig", pa.int64()), ("n", pa.int64()), ("toks", pa.list_(pa.int64()))])
+    schema = pa.schema([("sig", pa.int64()), *[(f"b{k}", pa.int64()) for k in range(HOMES)], ("toks", pa.list_(pa.int64()))])
 
     def run(batches):
         rows = _Rows(schema)
@@ -140,7 +142,7 @@ def _emit_full(width: int):
             if sig is None or sig in seen or sig != batch.column("sig")[i].as_py():
                 continue
             seen.add(sig)
-            if rows.add((sig, len(sh)), sh):
+            if rows.add((sig, *[batch.column(f"b{k}")[i].as_py() for k in range(HOMES)]), sh):
                 yield rows.batch()
         yield rows.batch()
 
@@ -350,57 +352,69 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
     open_places = F.col("n") - required + 1 - (F.col("given") - F.size("shared"))
     prefixes = written(
         mine.join(reps, "sig").withColumn("left", open_places).where("left > 0")
-        .select("sig", "rep", "n", F.expr("transform(slice(shared, 1, cast(least(left, size(shared)) as int)), x -> x.tok)")
-                .alias("prefix")), "prefixes")
-    postings = prefixes.select("sig", "n", F.explode("prefix").alias("tok"))
+        # shingles before the shared ones; where uncounted shingles were given too, none is sure to be
+        .select("sig", "rep", "n", F.when(F.col("given") > F.col("n") - required + 1, F.col("given") - F.size("shared"))
+                .otherwise(0).alias("alone"),
+                F.expr("transform(slice(shared, 1, cast(least(left, size(shared)) as int)), x -> x.tok)").alias("prefix")),
+        "prefixes")
+    ids = written(sets.select("doc_id", "sig", "n"), "ids")
+    reps = ids.where(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    discard(sets)
+    # rest: shingles of the set from this one on, in the global order
+    postings = prefixes.select("sig", "n", "alone", F.posexplode("prefix").alias("pos", "tok")).select(
+        "sig", "n", "tok", (F.col("n") - F.col("alone") - F.col("pos")).alias("rest"))
     bucket = postings.groupBy("tok").agg(F.count("*").alias("sets"), F.sum("n").alias("load")).where("sets > 1")
 
     # step 2: each set enters the trees of its least-hashed buckets
     met = postings.join(bucket, "tok")
-    homes = met.groupBy("sig").agg(*[
+    homes = met.groupBy("sig").agg(F.first("n").alias("n"), *[
         F.min(F.struct(F.xxhash64(F.col("tok"), F.lit(k)).alias("h"), "tok", "load")).alias(f"h{k}")
         for k in range(HOMES)])
+    size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_RATIO)))
 
     def block(k: int):
         parts = F.ceil(F.col(f"h{k}.load") / F.lit(BLOCK_SHINGLES))
-        return F.xxhash64(F.col(f"h{k}.tok"), F.pmod(F.xxhash64(F.col("sig"), F.lit(k)), parts))
+        part = F.when(parts == 1, 0).otherwise(F.pmod(F.xxhash64("sig", F.lit(k)), parts))
+        return F.xxhash64(F.col(f"h{k}.tok"), F.when(parts == 1, -1).otherwise(size_class), part)
 
     placed = written(homes.join(prefixes.select("sig", "rep"), "sig").select(
         "sig", "rep", *[block(k).alias(f"b{k}") for k in range(HOMES)]), "placed")
-    texts = base.join(small_side(placed.select("rep", "sig"), 1_000_000), F.col("doc_id").eqNullSafe(F.col("rep")))
-    full = written(texts.select("sig", "text").mapInArrow(_emit_full(width), "sig long, n long, toks array<long>"),
-                   "full")
-    stored = full.join(placed, "sig")
-    entered = stored.select("sig", "toks", F.explode(F.array_distinct(F.array(*[F.col(f"b{k}") for k in range(HOMES)])))
-                            .alias("block"))
+    blocks = [f"b{k}" for k in range(HOMES)]
+    texts = base.join(small_side(placed, 500_000), F.col("doc_id").eqNullSafe(F.col("rep")))
+    full = written(texts.select("sig", *blocks, "text").mapInArrow(
+        _emit_full(width), ", ".join(["sig long", *[f"{b} long" for b in blocks], "toks array<long>"])), "full")
+    entered = full.select("sig", "toks", F.explode(F.array_distinct(F.array(*blocks))).alias("block"))
     links = written(entered.repartition("block").sortWithinPartitions("block", "sig")
                     .mapInArrow(_within(percent), "a long, b long"), "links")
 
     # step 3: buckets that still hold several labels
     labels = components(links)
-    tagged = (postings.join(bucket.select("tok"), "tok").select("tok", "sig")
-              .join(labels.withColumnRenamed("node", "sig"), "sig", "left")
-              .withColumn("label", F.coalesce("label", "sig")))
+    slim = written(placed.select("sig", F.col("b0").alias("block")).join(
+        labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig")), "labelled")
+    tagged = postings.join(slim, "sig")
     spread = (tagged.groupBy("tok", "label").agg(F.count("*").alias("c")).groupBy("tok")
               .agg(F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("most")).where("labels > 1"))
-    still = written(tagged.join(spread.select("tok", F.col("most.label").alias("main")), "tok")
-                    .join(placed.select("sig", F.col("b0").alias("block")), "sig"), "open")
-    trees = still.groupBy("tok", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    probes = (still.where(F.col("label") != F.col("main")).select("tok", "sig", "label")
+    still = written(tagged.join(spread.select("tok", F.col("most.label").alias("main")), "tok"), "open")
+    trees = still.groupBy("tok", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                              F.min("n").alias("n_lo"), F.max("n").alias("n_hi"),
+                                              F.max("rest").alias("rest_hi"))
+    # if this bucket's shingle is the first that two sets share, both rests must reach the required overlap
+    need = F.expr(f"(({percent} * (n + greatest(n_lo, ({percent} * n + 99) div 100))) + {99 + percent}) div {100 + percent}")
+    probes = (still.where(F.col("label") != F.col("main")).select("tok", "sig", "label", "n", "rest")
               .join(trees, "tok").where((F.col("lo") != F.col("label")) | (F.col("hi") != F.col("label")))
+              .where((F.col("n_hi") * 100 >= F.col("n") * percent) & (F.col("n_lo") * percent <= F.col("n") * 100))
+              .where((F.col("rest") >= need) & (F.col("rest_hi") >= need))
               .select("sig", "label", "block").distinct())
     probes = written(probes, "probes")
     if not probes.isEmpty():
         tree_parts = probes.groupBy("block").agg(F.ceil(F.count("*") / F.lit(SEARCHES)).alias("parts"))
-        marked = stored.select("sig", "toks", F.col("b0").alias("block")).join(tree_parts, "block").join(
-            labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-        left = marked.select("sig", "toks", "label", F.lit(0).alias("role"),
-                             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block")
-        right = probes.join(tree_parts, "block").join(full.select("sig", "toks"), "sig").select(
-            "sig", "toks", "label", F.lit(1).alias("role"),
-            F.pmod(F.xxhash64("sig"), F.col("parts")).alias("part"), "block")
-        meet = left.unionByName(right).select("sig", "toks", "label", "role",
-                                              F.xxhash64("block", "part").alias("block"))
+        stored = slim.join(tree_parts, "block").select(
+            "sig", "label", F.lit(0).alias("role"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block")
+        asking = probes.join(tree_parts, "block").select(
+            "sig", "label", F.lit(1).alias("role"), F.pmod(F.xxhash64("sig"), F.col("parts")).alias("part"), "block")
+        roles = written(stored.unionByName(asking).select("sig", "label", "role", F.xxhash64("block", "part").alias("block")),
+                        "roles")
+        meet = full.select("sig", "toks").join(small_side(roles, 500_000), "sig")
         more = written(meet.repartition("block").sortWithinPartitions("block", "role", "sig")
                        .mapInArrow(_across(percent), "a long, b long"), "more")
         labels = components(links.unionByName(more))
@@ -410,6 +424,6 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
         "label", F.coalesce("label", "sig"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     classes = named.join(least, "label").select("sig", F.col("rep").alias("class_id"), "component_id")
-    return (sets.select("doc_id", "sig", F.col("n").alias("n_shingles")).join(classes, "sig", "left")
+    return (ids.select("doc_id", "sig", F.col("n").alias("n_shingles")).join(classes, "sig", "left")
             .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
