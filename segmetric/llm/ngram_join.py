@@ -37,7 +37,7 @@ from segmetric.llm.wordhash import batched_word_hashes, distinct_sorted, mix, sh
 COUNTED_SHARE = 0.4
 #: Shingles of a tree's sets together; a bucket with more is split into blocks, by size of
 #: the sets first (classes of this ratio), then by hash.
-BLOCK_SHINGLES = 50_000
+BLOCK_SHINGLES = 80_000
 SIZE_RATIO = 1.15
 #: Buckets that each set enters in step 2.
 HOMES = 2
@@ -57,11 +57,13 @@ def _prefix_length(n: int, percent: int) -> int:
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        raw = [t.encode("utf-8", "surrogatepass") if t is not None else None for t in texts]
-        for i, words in batched_word_hashes(raw):
-            yield batch, i, distinct_sorted(shingle_hashes(words, width))
+    for whole in batches:
+        for at in range(0, whole.num_rows, 512):  # few texts at a time as Python objects
+            batch = whole.slice(at, 512)
+            texts = batch.column("text").to_pylist()
+            raw = [t.encode("utf-8", "surrogatepass") if t is not None else None for t in texts]
+            for i, words in batched_word_hashes(raw):
+                yield batch, i, distinct_sorted(shingle_hashes(words, width))
 
 
 def _signature(sorted_set: np.ndarray) -> int:
@@ -337,7 +339,9 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("given").alias("given")))
 
     # step 1: shingles of several sets, with their counts, at the sets that hold them
-    rows = sets.where(F.col("toks").isNotNull()).select("sig", F.explode("toks").alias("tok")).repartition("tok")
+    # the null checks that later joins imply stand here, so both readers share one exchange
+    rows = (sets.where(F.col("toks").isNotNull() & F.col("sig").isNotNull()).select("sig", F.explode("toks").alias("tok"))
+            .where(F.col("tok").isNotNull()).repartition("tok"))
     several = (rows.groupBy("tok").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi"), F.count("*").alias("df"))
                .where(F.col("lo") != F.col("hi")).select("tok", "df"))
     held = rows.join(several.hint("shuffle_hash"), "tok")

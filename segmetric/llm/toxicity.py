@@ -152,13 +152,13 @@ def ordinal_fit(x: list[np.ndarray], grade: np.ndarray, sample_weight: np.ndarra
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  toxic_col: str = "toxic", per_label: int = 3000, max_features: int = 4000,
-                 min_docs: int = 4, grades: int = 4) -> OrdinalModel | None:
+                 min_docs: int = 4, min_z: float = 4.0, grades: int = 4) -> OrdinalModel | None:
     """Model of the labelled documents; None where either label is missing.
 
     Fitted on a bounded sample: about ``per_label`` labelled ids for each label, chosen by a hash of
     the id, weighted back to the labels' true shares. Features that at least ``min_docs`` sampled
-    documents hold are ranked by their signed root of chi-square; the ``max_features`` strongest
-    stay. Ids labelled both ways or more than once count as toxic if any label says so.
+    documents hold are ranked by their correlation with the label; of those whose test statistic
+    reaches ``min_z`` the ``max_features`` strongest stay. Ids labelled both ways or more than once count as toxic if any label says so.
     """
     clean = (labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col)).cast("int").alias("toxic")))
@@ -178,8 +178,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     counts = rows.select("toxic", F.explode("f").alias("f")).groupBy("f").agg(
         F.sum("toxic").alias("a"), F.count("*").alias("c")).where(F.col("c") >= min_docs)
     lean = F.col("a") * float(n) - F.col("c") * float(pos)
-    chi = lean / F.sqrt(F.col("c").cast("double") * (n - F.col("c") + 0.5) * pos * neg / n * n)
-    best = counts.select("f", chi.alias("chi")).orderBy(F.abs("chi").desc(), "f").limit(max_features).collect()
+    chi = lean / F.sqrt(F.col("c").cast("double") * (n - F.col("c") + 0.5) * pos * neg)
+    best = counts.select("f", chi.alias("chi")).where(F.abs("chi") * float(n) ** 0.5 >= min_z).orderBy(F.abs("chi").desc(), "f").limit(max_features).collect()
     best.sort(key=lambda r: r[0] & 0xFFFFFFFFFFFFFFFF)
     features = np.array([r[0] for r in best], dtype=np.int64).view(np.uint64)
     leaning = np.array([r[1] for r in best])
@@ -188,7 +188,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
               .groupBy("row", "toxic").agg(F.sort_array(F.collect_list("no")).alias("x")).orderBy("row").collect())
     x = [np.array(r[2], dtype=np.int64) for r in sparse]  # at most max_features numbers a row of the sample
     toxic = np.array([r[1] for r in sparse])
-    strong = leaning > 0.1
+    strong = leaning > 0
     dose = np.array([strong[a].sum() for a in x])
     edges = np.quantile(dose[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
     grade = np.where(toxic == 1, 1 + np.searchsorted(edges, dose, side="left"), 0)
