@@ -40,13 +40,13 @@ def knn_scores(train: DataFrame, query: DataFrame, k: int, weights: str = "dista
 
 # ---------------------------------------------------------------- C1, C3-C7
 def logistic(C: float = 1.0, penalty: str = "l2", max_iter: int = 5000, n_rows: float | None = None,
-             weight_sum: float | None = None, tol: float = 1e-4, **_):
+             weight_sum: float | None = None, tol: float = 1e-4):
     """liblinear's objective C * sum(loss) + penalty maps to Spark's mean loss
     + regParam * penalty with regParam = 1 / (C * sum of weights). Spark does not
     penalise the intercept (documented deviation). tol is the original solver's
     default stopping tolerance."""
     denom = weight_sum if weight_sum is not None else (n_rows or 1.0)
-    return LogisticRegression(maxIter=min(max_iter, 1000), regParam=1.0 / (C * denom), standardization=False,
+    return LogisticRegression(maxIter=int(max_iter), regParam=1.0 / (C * denom), standardization=False,
                               elasticNetParam=1.0 if penalty == "l1" else 0.0, featuresCol="features",
                               labelCol="label", tol=tol)
 
@@ -57,14 +57,18 @@ _TREE_SPEED = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
 
 
 def _depth(d, default):
-    return default if d is None else min(int(d), 30)
+    """Depth of a tree: ``default`` for None; Spark's trees end at 30."""
+    if d is not None and not 0 <= int(d) <= 30:
+        raise ValueError(f"max_depth must lie in 0..30, got {d}")
+    return default if d is None else int(d)
 
 
 def random_forest(n_estimators: int = 400, max_depth=None, min_samples_leaf: int = 1, max_features="sqrt",
-                  seed: int = 42, bootstrap: bool = True, **_):
-    """C3 (and C4 with bootstrap=False). ``None`` depth -> 30 (Spark's limit)."""
+                  seed: int = 42, bootstrap: bool = True, no_depth: int = 30):
+    """C3 (and C4 with bootstrap=False). ``no_depth`` is the depth that None stands for
+    (Spark's limit is 30); unknown settings are refused."""
     fss = {"sqrt": "sqrt", "log2": "log2", None: "all"}.get(max_features, str(max_features))
-    return RandomForestClassifier(numTrees=int(n_estimators), maxDepth=_depth(max_depth, 30),
+    return RandomForestClassifier(numTrees=int(n_estimators), maxDepth=_depth(max_depth, no_depth),
                                   minInstancesPerNode=int(min_samples_leaf), featureSubsetStrategy=fss,
                                   bootstrap=bootstrap, seed=seed, featuresCol="features", labelCol="label",
                                   **_TREE_SPEED)
@@ -77,10 +81,11 @@ def extra_trees(**kw):
 
 
 def boosted_trees(learning_rate: float = 0.1, max_depth=None, max_iter: int = 100, min_samples_leaf: int = 20,
-                  subsample: float = 1.0, colsample: float = 1.0, gamma: float = 0.0, seed: int = 42, **_):
-    """Gradient-boosted trees. ``None`` depth -> 5; column sampling is per node."""
+                  subsample: float = 1.0, colsample: float = 1.0, gamma: float = 0.0, seed: int = 42, no_depth: int = 5):
+    """Gradient-boosted trees. ``no_depth`` is the depth that None stands for; column
+    sampling is per node; unknown settings are refused."""
     fss = "all" if colsample >= 1.0 else str(colsample)
-    return GBTClassifier(stepSize=learning_rate, maxDepth=_depth(max_depth, 5), maxIter=int(max_iter),
+    return GBTClassifier(stepSize=learning_rate, maxDepth=_depth(max_depth, no_depth), maxIter=int(max_iter),
                          minInstancesPerNode=int(min_samples_leaf), subsamplingRate=subsample,
                          featureSubsetStrategy=fss, minInfoGain=float(gamma), maxBins=255, seed=seed,
                          featuresCol="features", labelCol="label", **_TREE_SPEED)
@@ -186,6 +191,7 @@ def _forest_in_parts(kind: str, params: dict, tw: DataFrame, data: DataFrame) ->
 
     with ThreadPoolExecutor(max_workers=parts) as pool:
         models = list(pool.map(fit, range(parts)))
+    tw.unpersist()
     out = data
     for i, m in enumerate(models):
         m = m.copy().setProbabilityCol(f"__p{i}").setRawPredictionCol(f"__r{i}").setPredictionCol(f"__y{i}")

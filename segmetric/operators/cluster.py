@@ -132,7 +132,7 @@ def eps_candidates(vecs: DataFrame, min_samples: int, probs: list[float],
 
 
 # ---------------------------------------------------------------- connected components
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
+def connected_components(vertices: DataFrame, edges: DataFrame,
                          keys: list[str] | None = None) -> DataFrame:
     """(keys..., id, root) with root = smallest id of the component.
 
@@ -142,7 +142,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     e = edges.where(F.col("src") != F.col("dst")).select(
         *keys, F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()
     e = e.checkpoint(eager=True)
-    for _ in range(max_rounds):
+    while True:  # until a round changes nothing
         both = e.select(*keys, "u", "v").unionByName(e.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: larger neighbours of a node link to the node's smallest neighbour (or itself)
         mn = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.col("u")).alias("__mn"))
@@ -221,8 +221,7 @@ def clustering_quality(vecs: DataFrame, labels: DataFrame, min_points: int = 10)
         "n_clusters long, noise_ratio double, silhouette double")
 
 
-def mreach_forest(vecs: DataFrame, kd: DataFrame, n_graphs: int, max_w: float, block_rows: int = 512,
-                  max_rounds: int = 64) -> DataFrame:
+def mreach_forest(vecs: DataFrame, kd: DataFrame, n_graphs: int, max_w: float, block_rows: int = 512) -> DataFrame:
     """Minimum spanning forest (m, u, v, w) of every mutual-reachability graph m
     (weights max(kd_u, kd_v, d) up to ``max_w``), by Boruvka rounds: each round
     takes the cheapest outgoing edge of every component (blocked distance
@@ -234,7 +233,7 @@ def mreach_forest(vecs: DataFrame, kd: DataFrame, n_graphs: int, max_w: float, b
     comp = vecs.select("id", F.explode(F.array(*[F.lit(m) for m in ms])).alias("m"), F.col("id").alias("c"))
     comp = comp.checkpoint(eager=True)
     forest = []
-    for _ in range(max_rounds):
+    while True:  # each round at least halves the components that have an outgoing edge
         comps = comp.groupBy("id").agg(F.array(*[F.max(F.when(F.col("m") == m, F.col("c"))) for m in ms])
                                        .alias("comps"))
         rows = vecs.select("id", "vec").join(kds, "id").join(comps, "id")

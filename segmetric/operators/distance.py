@@ -151,7 +151,8 @@ def approx_knn_join(query: DataFrame, ref: DataFrame, k: int, bucket_length: flo
 # ---------------------------------------------------------------- J5 radius join
 def radius_join(df: DataFrame, eps: float, p: int = 2, grid_dims: int = 3, block_rows: int = 512) -> DataFrame:
     """All ordered pairs (i, j, distance) with distance <= eps, self pairs included."""
-    dim = len(df.select("vec").first()["vec"])
+    head = df.select("vec").first()
+    dim = len(head["vec"]) if head else 1  # an empty input gives no pairs
     g = max(1, min(grid_dims, dim))
     cell = F.array(*[F.floor(F.col("vec")[i] / F.lit(float(eps))).cast("long") for i in range(g)])
     pts = df.select("id", "vec", cell.alias("cell"))

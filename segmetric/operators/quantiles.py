@@ -23,7 +23,7 @@ from segmetric.sources.tables import broadcast_if_bounded
 
 _BUCKETS = 1024
 _FINAL_ROWS = 1_000_000
-_MAX_ROUNDS = 64
+_STUCK_ROUNDS = 200
 
 
 def to_long(df: DataFrame, cols: list[str], by: list[str] | None = None,
@@ -69,7 +69,9 @@ def order_statistics(long_df: DataFrame, keys: list[str], ranks: DataFrame,
     final_rows = final_rows or _FINAL_ROWS
     win_cols = keys + ["lo", "hi", "below"]
     rw = ranks
-    for _ in range(_MAX_ROUNDS):
+    for turn in range(_STUCK_ROUNDS + 1):
+        if turn == _STUCK_ROUNDS:
+            raise RuntimeError("quantile windows stopped shrinking")
         big = rw.where((F.col("cnt") > final_rows) & (F.col("lo") < F.col("hi")))
         if big.isEmpty():
             break

@@ -166,7 +166,13 @@ def run_supervised(spark: SparkSession, prepared_dir: str, out_dir: str,
                 write_table(sweep, os.path.join(out_dir, f"threshold_sweep_{name}"))
                 chosen = T.choose_threshold(sweep, ["model"], cfg.target_recall, cfg.target_precision)
                 t = float(chosen.first()["threshold"])
-                s2 = T.apply_threshold(s.drop("pred"), t).withColumn("variant", F.lit("threshold_tuned"))
+                if cfg.calibration:  # the threshold was chosen on calibrated scores, so it is applied to such
+                    base = M.calibrated_scores(tuned, train, data, cfg.calibration, cfg.calibration_size, cfg.seed).join(
+                        data.select("row_id", "split", "label"), "row_id").withColumn("model", F.lit(name))
+                    variant = "calibrated_threshold_tuned"
+                else:
+                    base, variant = s.drop("pred", "variant"), "threshold_tuned"
+                s2 = T.apply_threshold(base, t).withColumn("variant", F.lit(variant))
                 scored.append(s2.select(*s.columns))
     allscores = scored[0]
     for s in scored[1:]:

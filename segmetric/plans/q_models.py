@@ -54,7 +54,7 @@ def q_et_scores(spark, sf_dir):
 
 @register("gbt_scores")
 def q_gbt_scores(spark, sf_dir):
-    return _scores(spark, sf_dir, C.baseline_models(SEED, "alt")["xgb"])
+    return _scores(spark, sf_dir, C.baseline_models(SEED, "alt")["hgb"])
 
 
 @register("gbt_sub_scores")
@@ -75,7 +75,7 @@ def q_kmeans_fit(spark, sf_dir):
 @register("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
     train, _, _ = split_frames(spark, sf_dir)
-    scores, chosen, _ = K.kmeans_sweep(train, [2, 3, 4], n_init=10, seed=SEED)
+    scores, chosen, _ = K.kmeans_sweep(train, list(range(2, 11)), n_init=10, seed=SEED)
     return scores.withColumn("chosen", F.col("k") == F.lit(float(chosen)))
 
 

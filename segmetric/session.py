@@ -12,9 +12,12 @@ def get_spark(app: str = "segmetric", cpus: str | int | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
     """Local session with AQE, UTC time and the UI off.
 
-    On a cluster the session already exists (spark-submit); ``getOrCreate``
-    returns it and only the SQL settings below are applied.
+    On a cluster the session already exists (spark-submit); it is returned as it is.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:  # a session made elsewhere keeps its settings
+        ensure_checkpoint_dir(active)
+        return active
     cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
     parts = shuffle_partitions or int(os.environ.get("SEGMETRIC_SHUFFLE_PARTITIONS", "8"))
     spark = (
@@ -47,8 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="segmetric-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
