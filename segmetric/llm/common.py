@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,12 +34,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return named
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Arrow batches of at most ``most`` rows for what is written inside; the session's
+    setting comes back afterwards. Only memory depends on it, never a result."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared scratch folder and read again: its
-    lineage is cut and later readers scan only the columns they use."""
+    lineage is cut and later readers scan only the columns they use. ``batch_rows`` bounds
+    the rows of the Arrow batches that Python steps of ``df`` get."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/corpus-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with arrow_rows(spark, batch_rows) if batch_rows else nullcontext():
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

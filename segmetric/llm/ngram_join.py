@@ -44,6 +44,9 @@ HOMES = 2
 #: Searching sets that meet one tree at a time in step 3.
 SEARCHES = 128
 
+#: Texts or sets of one Arrow batch.
+BATCH_ROWS = 1_000
+
 _SIGNED = np.int64
 
 
@@ -334,7 +337,7 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
         raise ValueError("percent must lie in 50..100")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = written(base.mapInArrow(_emit_sets(width, percent),
-                                   "doc_id long, sig long, n long, given long, toks array<long>"), "sets")
+                                   "doc_id long, sig long, n long, given long, toks array<long>"), "sets", BATCH_ROWS)
     reps = (sets.where(F.col("sig").isNotNull()).groupBy("sig")
             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("given").alias("given")))
 
@@ -386,10 +389,10 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
     blocks = [f"b{k}" for k in range(HOMES)]
     texts = base.join(small_side(placed, 500_000), F.col("doc_id").eqNullSafe(F.col("rep")))
     full = written(texts.select("sig", *blocks, "text").mapInArrow(
-        _emit_full(width), ", ".join(["sig long", *[f"{b} long" for b in blocks], "toks array<long>"])), "full")
+        _emit_full(width), ", ".join(["sig long", *[f"{b} long" for b in blocks], "toks array<long>"])), "full", BATCH_ROWS)
     entered = full.select("sig", "toks", F.explode(F.array_distinct(F.array(*blocks))).alias("block"))
     links = written(entered.repartition("block").sortWithinPartitions("block", "sig")
-                    .mapInArrow(_within(percent), "a long, b long"), "links")
+                    .mapInArrow(_within(percent), "a long, b long"), "links", BATCH_ROWS)
 
     # step 3: buckets that still hold several labels
     labels = components(links)
@@ -420,7 +423,7 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
                         "roles")
         meet = full.select("sig", "toks").join(small_side(roles, 500_000), "sig")
         more = written(meet.repartition("block").sortWithinPartitions("block", "role", "sig")
-                       .mapInArrow(_across(percent), "a long, b long"), "more")
+                       .mapInArrow(_across(percent), "a long, b long"), "more", BATCH_ROWS)
         labels = components(links.unionByName(more))
 
     # step 4

@@ -11,7 +11,8 @@ from functools import lru_cache
 
 import numpy as np
 
-SEGMENT = 1 << 20
+#: Bytes hashed at a time; working arrays hold about 40 bytes for each.
+SEGMENT = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
