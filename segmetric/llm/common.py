@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -9,6 +10,7 @@ from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 #: Words are separated by space and the five ASCII control blanks.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -67,6 +69,15 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def local_table(spark: SparkSession, rows: Iterable[tuple], ddl: str) -> DataFrame:
+    """A short table of plain values, built by the JVM from one literal: no Python worker
+    starts for it on an executor."""
+    schema = StructType.fromDDL(ddl)
+    text = json.dumps([dict(zip(schema.names, r)) for r in rows])
+    held = F.from_json(F.lit(text), ArrayType(schema))
+    return spark.range(0, 1, 1, 1).select(F.explode(held).alias("r")).select("r.*")
+
+
 def bounded(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows (reads at most one more)."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segmetric.llm.common import fresh, small_side, written
+from segmetric.llm.common import fresh, local_table, small_side, written
 
 #: Bins of one pass of the median search.
 BINS = 2048
@@ -33,7 +33,7 @@ def _search_cuts(rows: DataFrame, nodes: dict[int, tuple[int, float]]) -> dict[i
     it; first on the dimension, then on the tie among rows of that value.
     """
     spark = rows.sparkSession
-    dims = spark.createDataFrame([(n, d) for n, (d, _) in nodes.items()], "node int, d int")
+    dims = local_table(spark, [(n, d) for n, (d, _) in nodes.items()], "node int, d int")
     keyed = rows.join(F.broadcast(dims), "node").select("node", "w", F.expr("x[d]").alias("v"), "tie")
     ends = keyed.groupBy("node").agg(F.min("v"), F.max("v"), F.sum("w")).collect()
     state = {r[0]: {"lo": r[1], "hi": r[2], "below": 0, "x": None, "total": r[3]} for r in ends}
@@ -44,7 +44,7 @@ def _search_cuts(rows: DataFrame, nodes: dict[int, tuple[int, float]]) -> dict[i
             width = -(-(s["hi"] - s["lo"] + 1) // BINS)
             s["width"] = width
             spec.append((n, s["x"], s["lo"], s["hi"], width))
-        now = spark.createDataFrame(spec, "node int, at long, lo long, hi long, width long")
+        now = local_table(spark, spec, "node int, at long, lo long, hi long, width long")
         key = F.when(F.col("at").isNull(), F.col("v")).otherwise(F.col("tie"))
         live = keyed.join(F.broadcast(now), "node").where(F.col("at").isNull() | (F.col("v") == F.col("at"))).where(
             key.between(F.col("lo"), F.col("hi")))
@@ -115,7 +115,7 @@ def assign_nodes(rows: DataFrame, levels: list) -> DataFrame:
     spark = rows.sparkSession
     out = rows.withColumn("node", F.lit(0))
     for level in levels:
-        cut = spark.createDataFrame(level, "n int, d int, value long, edge long, l int, r int")
+        cut = local_table(spark, level, "n int, d int, value long, edge long, l int, r int")
         below = F.expr("x[d] < value OR (x[d] = value AND tie < edge)")
         out = out.join(F.broadcast(cut), F.col("node") == F.col("n"), "left").withColumn(
             "node", F.when(F.col("n").isNull(), F.col("node")).when(below, F.col("l")).otherwise(F.col("r"))).drop(
@@ -166,7 +166,7 @@ def kd_shards(docs: DataFrame, shards: int | None = 8, target_bytes: int | None
     if target_bytes:
         shards = max(1, -(-(ends[0] or 0) // target_bytes))
     levels = kd_tree(slim, shards, [s or 0 for s in ends[1:]]) if ends[0] else []
-    leaf = docs.sparkSession.createDataFrame(list(_leaves(levels).items()), "leaf int, shard_no int")
+    leaf = local_table(docs.sparkSession, _leaves(levels).items(), "leaf int, shard_no int")
     new = ["size", "text_crc32", "shard", "slot"]
     kept = [c for c in docs.columns if c.lower() not in new]
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), text_bytes(text).alias("w"),

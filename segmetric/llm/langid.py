@@ -13,13 +13,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmetric.llm.common import written
+from segmetric.llm.common import arrow_rows, written
 from segmetric.llm.sampling import label_quota
 
 #: Hash buckets of the n-grams, their lengths, and characters read at a time.
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Texts of one Arrow batch during the fit.
+BATCH_ROWS = 1_000
 
 _FACTORS = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
@@ -151,8 +153,9 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("label")).where(
         F.col("text").isNotNull() & F.col("label").isNotNull())
-    freq = (rows.select("text").mapInPandas(_document_frequency, "bucket long, df long")
-            .groupBy("bucket").agg(F.sum("df").alias("df")).toPandas())  # at most BUCKETS + 1 rows
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        freq = (rows.select("text").mapInPandas(_document_frequency, "bucket long, df long")
+                .groupBy("bucket").agg(F.sum("df").alias("df")).toPandas())  # at most BUCKETS + 1 rows
     total = int(freq.loc[freq["bucket"] == -1, "df"].sum())
     if not total:
         return None
@@ -162,8 +165,9 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
     key = F.xxhash64(F.col("id").cast("string"))
     sample = label_quota(rows, "label", F.col("id").cast("string"), per_label)
-    pdf = (sample.select(key.alias("h"), "label", "text").mapInPandas(_sparse, "h long, label string, at array<int>, tf array<float>")
-           .toPandas())
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        pdf = (sample.select(key.alias("h"), "label", "text")
+               .mapInPandas(_sparse, "h long, label string, at array<int>, tf array<float>").toPandas())
     pdf = pdf.assign(m=[len(a) for a in pdf["at"]], c=[float(np.sum(t)) for t in pdf["tf"]]).sort_values(
         ["h", "label", "m", "c"], kind="stable")
     labels = sorted(pdf["label"].unique())

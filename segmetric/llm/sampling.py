@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from segmetric.llm.common import local_table
+
 _SPAN = 1 << 40
 
 
@@ -16,10 +18,10 @@ def label_quota(rows: DataFrame, label: str, key: Column, per_label: int, max_la
     about per_label * labels rows; deterministic.
     """
     spark = rows.sparkSession
-    counts = (rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("c"))
-              .orderBy(F.col("c").desc(), label).limit(max_labels).collect())
-    kind = rows.schema[label].dataType.simpleString()
-    share = spark.createDataFrame([(r[0], int(_SPAN * min(1.0, per_label / r[1]))) for r in counts],
-                                  f"quota_label {kind}, quota long")
-    picked = rows.join(F.broadcast(share), F.col(label) == F.col("quota_label"))
+    name = F.col(label).cast("string")
+    counts = (rows.where(name.isNotNull()).groupBy(name.alias("name")).agg(F.count("*").alias("c"))
+              .orderBy(F.col("c").desc(), "name").limit(max_labels).collect())
+    share = local_table(spark, [(r[0], int(_SPAN * min(1.0, per_label / r[1]))) for r in counts],
+                        "quota_label string, quota long")
+    picked = rows.join(F.broadcast(share), name == F.col("quota_label"))
     return picked.where(F.pmod(F.xxhash64(key, F.lit("quota")), F.lit(_SPAN)) < F.col("quota")).drop("quota_label", "quota")

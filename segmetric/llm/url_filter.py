@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmetric.llm.common import small_side
+from segmetric.llm.common import local_table, small_side
 
 #: Hex digits of the SHA-256 digest that the equi-join compares.
 SHORT = 8
@@ -27,7 +27,7 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     """(rule, host, path, verdict) of rules such as ``("block", "net/")``: the host ends at
     the first ``/``, the path starts there."""
     rows = [(r, r.partition("/")[0].lower(), "/" + r.partition("/")[2] if "/" in r else "", v) for v, r in rules]
-    return spark.createDataFrame(rows, "rule string, host string, path string, verdict string")
+    return local_table(spark, rows, "rule string, host string, path string, verdict string")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: str = "url",
