@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from segmetric.llm.common import small_side, text_hash
+from segmetric.llm.common import local_table, small_side, text_hash
 
 #: (label, words, whether only the exact phrase counts)
 PHRASES = [
@@ -39,8 +39,9 @@ _CUT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def license_words(text: Column) -> Column:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the lower-cased text; empty for null."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _CUT), lambda w: w != "")
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased; empty for null."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"  # only these: other letters stay as they are
+    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), upper, upper.lower()), _CUT), lambda w: w != "")
 
 
 def template_pairs(spark: SparkSession, templates: list[tuple[str, str, bool]]) -> DataFrame:
@@ -51,7 +52,7 @@ def template_pairs(spark: SparkSession, templates: list[tuple[str, str, bool]])
         if len(words) < 2:
             raise ValueError("a template needs two words")
         rows += [(t, label, exact, len(words) - 1, i, words[i], words[i + 1]) for i in range(len(words) - 1)]
-    df = spark.createDataFrame(rows, "template int, label string, exact boolean, pairs int, tpos int, w1 string, w2 string")
+    df = local_table(spark, rows, "template int, label string, exact boolean, pairs int, tpos int, w1 string, w2 string")
     return df.withColumn("h", F.xxhash64(F.xxhash64("w1"), F.xxhash64("w2")))
 
 
