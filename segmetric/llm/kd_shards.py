@@ -113,8 +113,14 @@ def kd_tree(rows: DataFrame, shards: int, spans: list[int]) -> list[list[tuple[i
 def assign_nodes(rows: DataFrame, levels: list) -> DataFrame:
     """``rows`` (x, tie, ...) with their node after the given levels; no shuffle."""
     spark = rows.sparkSession
-    out = rows.withColumn("node", F.lit(0))
-    for level in levels:
+    if not levels:
+        return rows.withColumn("node", F.lit(0))
+    # the root is the only node of the first level: an expression, no join
+    _, d, value, edge, left, right = levels[0][0]
+    at = F.col("x")[d]
+    first = (at < F.lit(value)) | ((at == F.lit(value)) & (F.col("tie") < F.lit(edge)))
+    out = rows.withColumn("node", F.when(first, F.lit(left)).otherwise(F.lit(right)))
+    for level in levels[1:]:
         cut = local_table(spark, level, "n int, d int, value long, edge long, l int, r int")
         below = F.expr("x[d] < value OR (x[d] = value AND tie < edge)")
         out = out.join(F.broadcast(cut), F.col("node") == F.col("n"), "left").withColumn(
