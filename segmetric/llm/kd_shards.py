@@ -114,7 +114,7 @@ def assign_nodes(rows: DataFrame, levels: list) -> DataFrame:
     """``rows`` (x, tie, ...) with their node after the given levels; no shuffle."""
     spark = rows.sparkSession
     if not levels:
-        return rows.withColumn("node", F.lit(0))
+        return rows if "node" in rows.columns else rows.withColumn("node", F.lit(0))
     # the root is the only node of the first level: an expression, no join
     _, d, value, edge, left, right = levels[0][0]
     at = F.col("x")[d]
@@ -167,7 +167,8 @@ def kd_shards(docs: DataFrame, shards: int | None = 8, target_bytes: int | None
             dims.insert(1, F.crc32(F.coalesce(F.col("lang"), F.lit("")).cast("binary")))
     point = F.array(*[F.coalesce(d.cast("long"), F.lit(0).cast("long")) for d in dims]).alias("x")
     tie = (text_crc(text) * F.lit(1 << 30) + F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(1 << 30))).alias("tie")
-    slim = written(docs.select(text_bytes(text).alias("w"), point, tie), "points")
+    # the root's number is stored with the points, so joins on it keep a key
+    slim = written(docs.select(F.lit(0).alias("node"), text_bytes(text).alias("w"), point, tie), "points")
     ends = slim.agg(F.sum("w"), *[F.max(F.col("x")[i]) - F.min(F.col("x")[i]) for i in range(len(dims))]).first()
     if target_bytes:
         shards = max(1, -(-(ends[0] or 0) // target_bytes))
