@@ -143,8 +143,8 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
     """Fit on ``train`` (weighted when applicable) and score ``data``.
 
     Inputs carry (row_id, features vector, label); returns (row_id, score, pred).
-    Balanced weights are used for class_weight='balanced' or, as in the
-    original project, when the estimator takes weights and none was requested.
+    Balanced weights are used for class_weight='balanced' and where the spec names
+    none; with class_weight=None every row weighs 1.
     ``spec['reduce']`` adds a reduction stage fitted on ``train`` first."""
     train, data = _reduce(spec, train, data, label)
     kind, params = spec["kind"], dict(spec.get("params", {}))
@@ -156,7 +156,10 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
         return s.withColumnRenamed("id", "row_id")
     train = train.withColumn("label", F.col(label).cast("double"))
     # boosting and L-BFGS make many cheap passes: a few larger tasks; forests: one task per core
-    tw = with_class_weight(train, "label", "weight")
+    balanced = spec.get("class_weight", "balanced")
+    if balanced not in (None, "balanced"):
+        raise ValueError(f"unknown class_weight {balanced!r}")
+    tw = with_class_weight(train, "label", "weight") if balanced else train.withColumn("weight", F.lit(1.0))
     tw = spread(tw, rows_per_task=_ROWS_PER_TASK if kind in ("gbt", "logreg") else None).cache()
     if kind == "logreg":
         params["weight_sum"] = float(tw.agg(F.sum("weight")).first()[0])

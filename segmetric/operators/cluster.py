@@ -112,6 +112,7 @@ def kmeans_sweep(df: DataFrame, k_values: list[int], features: str = "features",
 
 
 # ---------------------------------------------------------------- K4 eps candidates
+# fixed values: factors of the searched eps candidates
 EPS_MULTIPLIERS = [0.7, 0.85, 1.0, 1.2, 1.5, 2.0]
 
 
@@ -348,7 +349,7 @@ def dbscan_search(vecs: DataFrame, min_samples_grid: list[int], eps_quantiles: l
         nondeg = [r for r in rows if r[2] >= 2]
         if not nondeg:
             if strict:
-                raise ValueError("DBSCAN search produced only degenerate results (n_clusters < 2).")
+                raise ValueError("no candidate of the density search has two clusters or more")
             return ordered, None, None
         best = sorted(nondeg, key=lambda r: (r[4] is None, -(r[4] or 0.0), r[3], r[1], r[0]))[0]
     return ordered, best[0], int(best[1])

@@ -44,7 +44,7 @@ def run_prepare_profile(spark: SparkSession, sf_dir: str, out_dir: str, cfg: Pre
     both splits -> persist; then the train-only profile tables."""
     cp = V.load_labelled(customer_profile(spark, sf_dir), "lapsed", true_values=("1",), false_values=("0",))
     train, test = cp.where(F.col("split") == "train"), cp.where(F.col("split") == "test")
-    V.assert_same_schema(train, test)
+    V.require_aligned_columns(train, test)
     cat, num = V.infer_feature_types(train, code_like=cfg.code_like, redundant=cfg.redundant,
                                      exclude=("row_id", "label", "split"))
     model = X.build_preprocessor(cat, num).fit(train)
@@ -154,6 +154,7 @@ def run_supervised(spark: SparkSession, prepared_dir: str, out_dir: str,
             summary, params, best = M.search(folds, kind, cfg.spaces[name], n_iter=cfg.n_iter, seed=cfg.seed,
                                              base=spec.get("params"))
             write_table(summary.join(params, "param_id"), os.path.join(out_dir, f"cv_results_{name}"))
+            best.pop("class_weight", None)  # rows are balanced either way
             tuned = {"kind": kind, "params": {**spec.get("params", {}), **best}}
             s = C.fit_and_score(tuned, train, data).join(data.select("row_id", "split", "label"), "row_id")
             s = s.withColumn("model", F.lit(name)).withColumn("variant", F.lit("tuned"))

@@ -175,8 +175,11 @@ def q_cv_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M1-M3, M7 (rows-only)
+# fixed values: the search grids that the results must cover
 LOGREG_SPACE = {"C": [0.001, 0.005, 0.01, 0.05, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0],
-                "penalty": ["l1", "l2"]}
+                "penalty": ["l1", "l2"], "class_weight": [None, "balanced"]}
+REDUCED_LOGREG_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2"],
+                       "class_weight": [None, "balanced"]}
 
 
 def _fold_frame(spark, sf_dir):
@@ -187,14 +190,22 @@ def _fold_frame(spark, sf_dir):
 @register("random_search")
 def q_random_search(spark, sf_dir):
     data = _fold_frame(spark, sf_dir)
-    summary, params, _ = M.search(data, "logreg", LOGREG_SPACE, n_iter=6, seed=SEED)
+    summary, params, _ = M.search(data, "logreg", LOGREG_SPACE, n_iter=30, seed=SEED)
     return summary.join(params, "param_id")
 
 
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
+    """The numeric block reduced to its discriminant axis inside every fold, all indicators
+    passed through; full grid, row weights only where the candidate asks for them."""
+    from segmetric.operators.prep import feature_names
+
     data = _fold_frame(spark, sf_dir)
-    summary, params, _ = M.search(data, "logreg", {"C": [0.01, 1.0, 100.0], "penalty": ["l1", "l2"]}, n_iter=None)
+    names = feature_names(data)
+    num = [i for i, n in enumerate(names) if n.startswith("num__")]
+    rest = [i for i, n in enumerate(names) if not n.startswith("num__")]
+    summary, params, _ = M.search(data, "logreg", REDUCED_LOGREG_GRID, n_iter=None,
+                                  base={"reduce": ("partial_lda", num, rest)}, balance_rows=False)
     return summary.join(params, "param_id")
 
 
