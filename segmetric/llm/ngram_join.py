@@ -353,7 +353,9 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
     # signed view of the unsigned hash: the counted range is [0, cut) for cut below 2**63
     late = (~F.col("tok").between(F.lit(0), border - F.lit(1))).cast("int") if cut < 1 << 63 else (
         F.col("tok").between(border, F.lit(-1))).cast("int")
-    place = F.struct(late.alias("late"), F.when(late == 1, 0).otherwise(F.col("df")).alias("df"), F.col("tok"))
+    # tok < 0 first: the tasks gave the first shingles in unsigned order, and positions must follow the same one
+    place = F.struct(late.alias("late"), F.when(late == 1, 0).otherwise(F.col("df")).alias("df"),
+                     (F.col("tok") < 0).alias("high"), F.col("tok"))
     mine = held.groupBy("sig").agg(F.sort_array(F.collect_set(place)).alias("shared"))
     required = F.expr(f"(n * {percent} + 99) div 100")
     open_places = F.col("n") - required + 1 - (F.col("given") - F.size("shared"))

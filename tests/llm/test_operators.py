@@ -105,6 +105,34 @@ def test_join_matches_brute_force_on_copies_and_shared_passages(spark, monkeypat
     assert got == brute_components(rows)
 
 
+def test_join_keeps_links_of_short_sets_in_split_buckets(spark, monkeypatch):
+    # a text and the text plus one word: 6 and 7 shingles are classes of their own once their bucket is split
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 4)
+    rnd = random.Random(11)
+
+    def shares(words):
+        (_, hashed), = wordhash.batched_word_hashes([" ".join(words).encode()])
+        return np.sort(wordhash.shingle_hashes(hashed, 5)).astype(float) / 2.0 ** 64
+
+    def family(k):
+        return [f"f{k}x{i}" for i in range(10)], f"f{k}end"
+
+    # the text's first shingle lies in 0.4..0.5 of the hash range, the others from 0.5 on; the longer one's new shingle comes before
+    def crossing(k):
+        w, end = family(k)
+        h = shares(w)
+        return 0.4 < h[0] < 0.5 <= h[1] and shares([*w, end][-5:])[0] < h[0]
+
+    rows = []
+    for k in [*range(40), *[k for k in range(40, 4_000) if crossing(k)][:8]]:
+        w, end = family(k)
+        texts = [w, [*w, end], *[w[i:i + 5] for i in range(6)], *[w[i:] for i in range(1, rnd.randrange(2, 5))]]
+        rows += [(len(rows) + i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_jaccard_join(df).collect())
+    assert got == brute_components(rows)
+
+
 def test_tree_search_equals_pairwise_overlaps():
     rnd = np.random.default_rng(3)
     sets = [np.unique(rnd.integers(0, 60, rnd.integers(3, 40)).astype(np.uint64)) for _ in range(30)]
