@@ -17,15 +17,32 @@ ROUNDS = 8
 #: Dates from 1900-01-01 on, 270 * 270 days (until 2099-08-05).
 DATE_SIDE = 270
 
+_START, _END = r"(?<![0-9A-Za-z.\-+])", r"(?![0-9A-Za-z\-]|\.[0-9])"
 _PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9\-])",
     "date": r"(?<![0-9A-Za-z.\-/])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z\-/]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z.\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-]|\.[0-9])",
     "ip": r"(?<![0-9A-Za-z.\-])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z\-]|\.[0-9])",
-    "card": r"(?<![0-9A-Za-z.\-+])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z\-]|\.[0-9])",
-    "phone": r"(?<![0-9A-Za-z.\-+(])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .\-][0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9A-Za-z\-]|\.[0-9])",
 }
-ANY = "|".join(f"(?:{p})" for p in _PATTERNS.values())
+#: Card layouts with one separator throughout: fours and a last group, 4-6-5 and 4-6-4, or no separator.
+_WHOLE_CARD = r"(?:[0-9]{4}(?<w>[ \-])[0-9]{4}\k<w>[0-9]{4}\k<w>[0-9]{4}|[0-9]{4}(?<x>[ \-])[0-9]{6}\k<x>[0-9]{4,5}|[0-9]{13,19})"
+_LONG_CARD = r"(?:[0-9]{4}(?<u>[ \-])[0-9]{4}\k<u>[0-9]{4}\k<u>[0-9]{4}\k<u>[0-9]{1,3})"
+_SHORT_CARD = r"(?:[0-9]{4}(?<v>[ \-])[0-9]{4}\k<v>[0-9]{4}\k<v>[0-9]{1,3})"
+#: Groups of a phone number are not taken out of a row of four or more groups of four.
+_PHONE = (r"(?<![0-9A-Za-z.\-+(])(?![0-9]{4}(?<y>[ \-])[0-9]{4}\k<y>[0-9]{4}\k<y>[0-9]{1,4}(?![0-9]))"
+          r"(?!(?<=[0-9]{4}[ \-])[0-9]{4}[ \-][0-9]{4}[ \-][0-9]{3,4}(?![0-9]))"
+          r"(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .\-][0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9A-Za-z\-]|\.[0-9])")
+#: Scans in order; each reads what the ones before left, so a span that fails its check is matched again.
+_SCANS = [
+    "|".join(f"(?:{p})" for p in [*_PATTERNS.values(), f"{_START}(?:{_LONG_CARD}|{_WHOLE_CARD}|{_SHORT_CARD}){_END}"]),
+    f"{_START}{_WHOLE_CARD}{_END}",  # a card before another number
+    f"{_START}{_WHOLE_CARD}(?![ ][0-9]){_END}",  # a card after another number
+    _PHONE,
+    f"{_START}[0-9](?:[ \\-]?[0-9]){{12,18}}{_END}",  # cards in any other grouping
+    f"{_START}[0-9](?:[ \\-]?[0-9]){{12,18}}?{_END}",
+]
+#: Stands for a settled value while the text around it is put together again; one in the text itself counts as settled.
+_MARK = "\ue000"
 
 
 def _quoted(text: str) -> str:
@@ -155,33 +172,41 @@ def _kind(m: str) -> str:
             f"ELSE if(length({digits}) between 8 and 15, 'phone', null) END")
 
 
+def _scan(pattern: str, key: str) -> str:
+    """SQL: __segs, with the open segments (null k) cut at the pattern's matches that validate."""
+    mark, cut = _quoted(_MARK), _quoted(f"(?:{pattern})|{_MARK}")
+    swapped = "CASE v.k " + " ".join(f"WHEN '{k}' THEN {f('v.t', key)}" for k, f in _SWAPS.items()) + " ELSE v.t END"
+    glued = (f"array_join(flatten(zip_with(split(s.t, {cut}, -1), concat(transform(ms, m -> if(m.k is null, m.t, {mark})), array('')), "
+             "(p, r) -> array(p, r))), '')")
+    settled = f"transform(filter(ms, m -> m.k is not null), v -> array(named_struct('t', {swapped}, 'k', v.k)))"
+    pieces = (f"flatten(zip_with(split({glued}, {mark}, -1), concat({settled}, array(cast(array() as array<struct<t: string, k: string>>))), "
+              "(c, v) -> concat(array(named_struct('t', c, 'k', cast(null as string))), v)))")
+    matches = f"transform(regexp_extract_all(s.t, {cut}, 0), m -> named_struct('t', m, 'k', if(m = {mark}, '', {_kind('m')})))"
+    return f"flatten(transform(__segs, s -> if(s.k is not null, array(s), {_let('ms', matches, f'if(size(ms) = 0, array(s), {pieces})')})))"
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with the text's personal values replaced, plus pii: map from kind to count.
 
     Kinds: card (13 to 19 digits, Luhn; network digit kept, check digit renewed), phone (8 to
     15 digits, layout and international prefix kept), ssn, ip (IPv4), date (ISO, dd.mm.yyyy,
-    mm/dd/yyyy, in the calendar from 1900 to 2099), email. Values that fail their check stay
-    as they are. Texts are read whole; null texts stay null with an empty map. Every row
+    mm/dd/yyyy, in the calendar from 1900 to 2099), email. Cards in their usual groupings are
+    settled before phones, phones before cards in any other grouping; a span that fails its
+    check is matched again by the scans that follow, and stays as it is if none holds. Texts are read whole; null texts stay null with an empty map. Every row
     comes back once, with all its columns; a column named pii is replaced. The key is a secret
     of the caller: with it the permutations can be undone.
     """
     kept = [c for c in docs.columns if c.lower() != "pii"]
     text = F.col(f"`{text_col}`")
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(0))).otherwise(
-        F.array().cast("array<string>"))
-    named = docs.select(*[F.col(f"`{c}`") for c in kept], found.alias("__found")).withColumn("__kinds", F.expr(
-        f"transform(__found, m -> {_kind('m')})"))
-    swapped = F.expr("transform(arrays_zip(__found, __kinds), z -> CASE z.__kinds "
-                     + " ".join(f"WHEN '{k}' THEN {f('z.__found', key)}" for k, f in _SWAPS.items())
-                     + " ELSE z.__found END)")
-    pieces = F.split(text, ANY, -1)
-    new = F.when(F.size("__found") == 0, text).otherwise(F.array_join(F.flatten(F.zip_with(
-        pieces, F.concat("__new", F.array(F.lit(""))), lambda p, r: F.array(p, r))), ""))
-    counts = F.expr("map_from_entries(transform(array_distinct(filter(__kinds, k -> k is not null)), "
-                    "k -> struct(k, size(filter(__kinds, x -> x = k)))))")
-    out = named.withColumn("__new", F.when(F.size("__found") > 0, swapped).otherwise(F.col("__found")))
-    return out.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept],
-                      F.coalesce(counts, F.expr("cast(map() as map<string, int>)")).alias("pii"))
+    named = docs.select(*[F.col(f"`{c}`") for c in kept], F.array(
+        F.struct(text.alias("t"), F.lit(None).cast("string").alias("k"))).alias("__segs"))
+    for pattern in _SCANS:
+        named = named.withColumn("__segs", F.when(text.rlike("[0-9@]"), F.expr(_scan(pattern, key))).otherwise(F.col("__segs")))
+    named = named.withColumn("__kinds", F.expr("transform(filter(__segs, s -> s.k <> ''), s -> s.k)"))
+    new = F.when(F.size("__kinds") == 0, text).otherwise(F.expr("array_join(transform(__segs, s -> s.t), '')"))
+    counts = F.expr("map_from_entries(transform(array_distinct(__kinds), k -> struct(k, size(filter(__kinds, x -> x = k)))))")
+    return named.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept],
+                        F.coalesce(counts, F.expr("cast(map() as map<string, int>)")).alias("pii"))
 
 
 _SWAPS = {"email": _email, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "phone": _phone}

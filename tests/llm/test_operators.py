@@ -334,6 +334,26 @@ def test_pseudonyms(spark, docs, empty):
     assert pseudonyms.pseudonymise(empty, "k").count() == 0
 
 
+def test_pseudonyms_next_to_other_numbers(spark):
+    values = {"4111 1111 1111 1111": "card", "4111111111111111": "card", "4041894974608795": "card",
+              "555-123-4567": "phone", "123-45-6789": "ssn"}
+    texts = ["4111 1111 1111 1111 12/25", "4111111111111111 123", "4111 1111 1111 1111 123", "12 4041894974608795",
+             "1234 4111 1111 1111 1111", "1234 555-123-4567", "2024 555-123-4567", "2023 555-123-4567", "555-123-4567 1234",
+             "1234 123-45-6789", "4111 1111 1111 1111 555-123-4567", "a \ue000 555-123-4567 \ue000 b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pseudonyms.pseudonymise(df, "k").collect():
+        held = [v for v in values if v in texts[r.doc_id]]
+        assert r.pii == Counter(values[v] for v in held), texts[r.doc_id]
+        rest = texts[r.doc_id]
+        for v in held:
+            assert v not in r.text
+            rest = rest.replace(v, "|")
+        assert re.fullmatch(".+".join(map(re.escape, rest.split("|"))), r.text), (texts[r.doc_id], r.text)
+    same = ["4111 1111 1111 1112", "4111111111111112 99", "1" * 25]
+    df = spark.createDataFrame(list(enumerate(same)), "doc_id long, text string")
+    assert {r.text for r in pseudonyms.pseudonymise(df, "k").collect()} == set(same)
+
+
 def test_feistel_is_a_permutation(spark):
     d = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     out = d.select(F.expr(pseudonyms.digits_permuted("d", "k", "'t'")).alias("p")).collect()
