@@ -25,7 +25,7 @@ def duck_connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v, digits: int):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
