@@ -12,9 +12,12 @@ from segmetric.llm import (
     kd_shards,
     langid,
     license_scan,
+    merkle,
     mixing,
     ngram_join,
     pseudonyms,
+    quality,
+    spelling,
     topk,
     toxicity,
     url_filter,
@@ -92,6 +95,42 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _id_crc(*more: str):
+    """Unsigned crc32 of the decimal id (with ``more`` texts or columns behind it); null for a null id."""
+    return F.crc32(F.concat(F.col("doc_id").cast("string"), *more).cast("binary"))
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering deletes the line breaks of the texts whose id has an even crc32."""
+    docs = _table(spark, sf_dir, "documents", *_LEAF)
+    text = F.when(_id_crc() % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    altered = merkle.leaf_hash([*[F.col(c) for c in _LEAF[:-1]], text])
+    return merkle.verified_manifest(docs, _LEAF, "source", "doc_id", altered).withColumnRenamed("id", "doc_id")
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality").where(~quality.held_out())
+    machine = quality.fit_quality(docs, labels, meta=["n_chars"])
+    return quality.score_quality(docs, machine, meta=["n_chars"]).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 97 divides the crc32 of ``<doc_id>:<run>``, the run loses one letter."""
+    def change(run):
+        h = _id_crc(F.lit(":"), run)
+        at = (h % F.char_length(run)).cast("int")
+        return F.when(h % 97 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))
+                      ).otherwise(run)
+
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling.spelling_groups(spelling.word_counts(docs, change=change)).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+_LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
 _OP1_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -179,6 +218,103 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM o
 """
 
+#: crc32 of a short text in SQL: a table from the polynomial, then one step a byte.
+_CRC = """t AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) AS c
+    FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def _crc_sql(blob: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_transform(range(1, octet_length({blob}) + 1),
+      lambda p: CAST('0x' || substr(hex({blob}), 2 * p - 1, 2) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT))"""
+
+
+_OP11_SQL = r"""
+WITH RECURSIVE CRC,
+f AS (
+  SELECT *, CASE WHEN CRCOF % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS altered FROM documents, t),
+h AS (
+  SELECT doc_id, source, sha256(FIELDS || FIELD(text)) AS leaf, sha256(FIELDS || FIELD(altered)) AS altered_leaf FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM h),
+n AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY i) AS d FROM r GROUP BY source
+  UNION ALL
+  SELECT source, level + 1, list_transform(range(0, CAST(ceil(len(d) / 3.0) AS BIGINT)),
+                                           lambda j: sha256(array_to_string(d[3 * j + 1:3 * j + 3], '')))
+  FROM n WHERE len(d) > 1),
+s AS (SELECT source, d[1] AS subroot FROM n WHERE len(d) = 1),
+o AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM s),
+m AS (
+  SELECT 0 AS level, list(subroot ORDER BY i) AS d FROM o
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, CAST(ceil(len(d) / 3.0) AS BIGINT)),
+                                   lambda j: sha256(array_to_string(d[3 * j + 1:3 * j + 3], '')))
+  FROM m WHERE len(d) > 1),
+lv AS (
+  SELECT r.doc_id, r.source, r.i AS leaf_no, n.level, r.i // CAST(pow(3, n.level) AS BIGINT) AS j, n.d
+  FROM r JOIN n ON r.source IS NOT DISTINCT FROM n.source WHERE len(n.d) > 1
+  UNION ALL
+  SELECT r.doc_id, r.source, r.i, 1000 + m.level, o.i // CAST(pow(3, m.level) AS BIGINT), m.d
+  FROM r JOIN o ON r.source IS NOT DISTINCT FROM o.source, m WHERE len(m.d) > 1),
+p AS (
+  SELECT source, leaf_no, list({'b': array_to_string(d[j - j % 3 + 1:j], ''), 'a': array_to_string(d[j + 2:j - j % 3 + 3], '')}
+                               ORDER BY level) AS path
+  FROM lv GROUP BY source, leaf_no),
+z AS (
+  SELECT r.doc_id, r.leaf, r.altered_leaf, o.subroot, (SELECT d[1] FROM m WHERE len(d) = 1) AS root, coalesce(p.path, []) AS path
+  FROM r JOIN o ON r.source IS NOT DISTINCT FROM o.source
+  LEFT JOIN p ON p.source IS NOT DISTINCT FROM r.source AND p.leaf_no = r.i),
+k AS (
+  SELECT z.*, 0 AS step, altered_leaf AS now FROM z
+  UNION ALL
+  SELECT doc_id, leaf, altered_leaf, subroot, root, path, step + 1, sha256(path[step + 1].b || now || path[step + 1].a)
+  FROM k WHERE step < len(path))
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.b || x.a), '')) AS proof_sha256,
+       now AS folded_root, now = root AS verified
+FROM k WHERE step = len(path)
+"""
+for _name in ("altered", "text"):
+    _OP11_SQL = _OP11_SQL.replace(f"FIELD({_name})", f"coalesce(octet_length(encode({_name})) || ':' || {_name}, '-')")
+_OP11_SQL = _OP11_SQL.replace("FIELDS", " || ".join(
+    f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')" for c in _LEAF[:-1]))
+_OP11_SQL = _OP11_SQL.replace("CRCOF", _crc_sql("encode(CAST(doc_id AS VARCHAR))")).replace("CRC", _CRC)
+
+_OP13_SQL = r"""
+WITH RECURSIVE CRC,
+o AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-zÀ-ÿ]{5,}')) AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS c FROM o GROUP BY ALL),
+h AS (SELECT run, c, CRCOF AS h FROM g, t),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+x AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM v),
+d AS (SELECT word, n, p, left(word, p - 1) || substr(word, p + 1) AS cut FROM x),
+e AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM d a JOIN d b
+    ON a.p = b.p AND a.cut = b.cut AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION
+  SELECT d.word, v.word, v.n FROM d JOIN v ON d.cut = v.word
+  UNION
+  SELECT v.word, d.word, d.n FROM d JOIN v ON d.cut = v.word),
+b AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS best_n, arg_min(other, struct_pack(k := -other_n, w := other)) AS best
+  FROM e GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form,
+         CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM v LEFT JOIN b USING (word)),
+r AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL
+  SELECT r.word, r.next, f.form FROM r JOIN f ON r.next = f.word)
+SELECT f.word, f.form, r.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.next IS NULL
+"""
+_OP13_SQL = _OP13_SQL.replace("CRCOF", _crc_sql("encode(doc_id || ':' || run)")).replace("CRC", _CRC)
+
 _QUERIES = {
     "op1_ngram_join": (op1_ngram_join, _OP1_SQL),
     "op2_decontaminate": (op2_decontaminate, _OP2_SQL),
@@ -190,6 +326,9 @@ _QUERIES = {
     "op8_mixing": (op8_mixing, _OP8_SQL),
     "op9_pseudonyms": (op9_pseudonyms, None),
     "op10_kd_shards": (op10_kd_shards, None),
+    "op11_merkle": (op11_merkle, _OP11_SQL),
+    "op12_quality": (op12_quality, None),
+    "op13_spelling": (op13_spelling, _OP13_SQL),
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for k, (f, _) in _QUERIES.items()}
