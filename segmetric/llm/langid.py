@@ -95,10 +95,59 @@ def _sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "tf": [r[1].astype(np.float32) for r in rows]})
 
 
-def ftrl_fit(rows: list[tuple[np.ndarray, np.ndarray, int]], labels: int, passes: int = 3, alpha: float = 0.5,
+class _Sample:
+    """The fitting sample as a stream of (buckets, values, class) in the order of the ids' hash. The
+    driver holds one slice of about ``most`` n-grams at a time, whatever the sample's size."""
+
+    def __init__(self, rows: DataFrame, labels: list[str], idf: np.ndarray, most: int = 1 << 21):
+        self.rows, self.idf = rows, idf
+        self.number = {v: k for k, v in enumerate(labels)}
+        grams, self.count = rows.agg(F.coalesce(F.sum(F.size("at")), F.lit(0)), F.count("*")).first()
+        slices = max(1, -(-int(grams) // most))
+        step = (1 << 64) // slices
+        self.cuts = [-(1 << 63) + k * step for k in range(slices)] + [1 << 63]
+        self.kept = None  # a single slice is fetched once
+
+    def _slice(self, k: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        if self.kept is not None:
+            return self.kept
+        h = F.col("h")
+        table = self.rows.where((h >= self.cuts[k]) & (h <= self.cuts[k + 1] - 1)).toArrow().combine_chunks()
+        found = []
+        if table.num_rows:
+            columns = {n: table.column(n).chunk(0) for n in table.column_names}
+            off = {n: columns[n].offsets.to_numpy() for n in ("at", "tf")}
+            val = {n: columns[n].values.to_numpy() for n in ("at", "tf")}
+            sizes = np.diff(off["at"])
+            total = [float(val["tf"][a:b].sum()) for a, b in zip(off["tf"][:-1], off["tf"][1:])]
+            names, keys = columns["label"].to_pylist(), columns["h"].to_numpy()
+            for i in sorted(range(len(keys)), key=lambda i: (keys[i], names[i], sizes[i], total[i])):
+                found.append((val["at"][off["at"][i]:off["at"][i + 1]], val["tf"][off["tf"][i]:off["tf"][i + 1]],
+                              self.number[names[i]]))
+        if len(self.cuts) == 2:
+            self.kept = found
+        return found
+
+    def _stream(self, held: bool) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        no = 0
+        for k in range(len(self.cuts) - 1):
+            for at, tf, label in self._slice(k):
+                if (no % 5 == 0) == held:
+                    at = at.astype(np.int64)
+                    yield at, _weighted(at, tf.astype(np.float64), self.idf), label
+                no += 1
+
+    def fit_rows(self) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        return self._stream(self.count < 2)
+
+    def held_rows(self) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        return self._stream(True)
+
+
+def ftrl_fit(rows, labels: int, passes: int = 3, alpha: float = 0.5,
              beta: float = 1.0, l1: float = 0.02, l2: float = 1.0) -> np.ndarray:
-    """FTRL-proximal for a softmax over ``labels``; rows are (buckets, values, class). The
-    last weight row is the bias, without penalty."""
+    """FTRL-proximal for a softmax over ``labels``; ``rows()`` streams (buckets, values, class),
+    once a pass. The last weight row is the bias, without penalty."""
     z = np.zeros((BUCKETS + 1, labels))
     n = np.zeros((BUCKETS + 1, labels))
 
@@ -111,7 +160,7 @@ def ftrl_fit(rows: list[tuple[np.ndarray, np.ndarray, int]], labels: int, passes
         return w
 
     for _ in range(passes):
-        for at, x, y in rows:
+        for at, x, y in rows():
             at = np.append(at, BUCKETS)
             x = np.append(x, 1.0)
             w = weights(at)
@@ -165,21 +214,18 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
     key = F.xxhash64(F.col("id").cast("string"))
     sample = label_quota(rows, "label", F.col("id").cast("string"), per_label)
-    with arrow_rows(docs.sparkSession, BATCH_ROWS):
-        pdf = (sample.select(key.alias("h"), "label", "text")
-               .mapInPandas(_sparse, "h long, label string, at array<int>, tf array<float>").toPandas())
-    pdf = pdf.assign(m=[len(a) for a in pdf["at"]], c=[float(np.sum(t)) for t in pdf["tf"]]).sort_values(
-        ["h", "label", "m", "c"], kind="stable")
-    labels = sorted(pdf["label"].unique())
-    data = [(np.asarray(a, dtype=np.int64), _weighted(np.asarray(a, dtype=np.int64), np.asarray(t, dtype=np.float64), idf),
-             labels.index(v)) for a, t, v in zip(pdf["at"], pdf["tf"], pdf["label"])]
-    fit, held = [r for i, r in enumerate(data) if i % 5], data[::5]
-    if not fit:
-        fit = held
-    weights = ftrl_fit(fit, len(labels), passes)
-    scores = np.array([x @ weights[at] + weights[-1] for at, x, _ in held])
+    rows = written(sample.select(key.alias("h"), "label", "text").mapInPandas(
+        _sparse, "h long, label string, at array<int>, tf array<float>"), "grams", BATCH_ROWS)
+    labels = [r[0] for r in rows.select("label").distinct().orderBy("label").collect()]
+    data = _Sample(rows, labels, idf)
+    weights = ftrl_fit(data.fit_rows, len(labels), passes)
+    scores, y = [], []
+    for at, x, label in data.held_rows():
+        scores.append(x @ weights[at] + weights[-1])
+        y.append(label)
+    scores, y = np.array(scores), np.array(y, dtype=np.int64)
     return LanguageModel(labels, idf.astype(np.float32), weights.astype(np.float32),
-                         fit_temperature(scores, np.array([y for _, _, y in held])))
+                         fit_temperature(scores, y))
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:

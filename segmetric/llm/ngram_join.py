@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmetric.llm.common import discard, small_side, written
+from segmetric.llm.common import discard, small_side, text_hash, written
 from segmetric.llm.components import components
 from segmetric.llm.wordhash import batched_word_hashes, distinct_sorted, mix, shingle_hashes
 
@@ -39,7 +39,8 @@ COUNTED_SHARE = 0.4
 #: the sets first (classes of this ratio), then by hash.
 BLOCK_SHINGLES = 80_000
 SIZE_RATIO = 1.15
-#: Buckets that each set enters in step 2.
+#: Buckets that each set enters in step 2: its largest one, which most sets of a group share,
+#: so few trees hold a group, then some by hash.
 HOMES = 2
 #: Searching sets that meet one tree at a time in step 3.
 SEARCHES = 128
@@ -113,23 +114,23 @@ def _order_class(sorted_set: np.ndarray) -> int:
 
 
 def _emit_sets(width: int, percent: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("given", pa.int64()),
-                        ("toks", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()),
+                        ("given", pa.int64()), ("toks", pa.list_(pa.int64()))])
 
     def run(batches):
-        seen: set[int] = set()  # sets this task has given: 8 bytes for each row of a partition
+        seen: set[int] = set()  # sets this task has given: some 60 bytes for each row of a partition
         rows = _Rows(schema)
         for batch, i, sh in _shingle_sets(batches, width):
-            doc_id = batch.column("doc_id")[i].as_py()
+            row = batch.column("doc_id")[i].as_py(), batch.column("text_key")[i].as_py()
             if not len(sh):
-                if rows.add((doc_id, None, 0, 0), None):
+                if rows.add((*row, None, 0, 0), None):
                     yield rows.batch()
                 continue
             sig = _signature(sh)
             given = max(_order_class(sh), min(len(sh), _prefix_length(len(sh), percent)))
             toks = None if sig in seen else sh[:given]
             seen.add(sig)
-            if rows.add((doc_id, sig, len(sh), given), toks):
+            if rows.add((*row, sig, len(sh), given), toks):
                 yield rows.batch()
         yield rows.batch()
 
@@ -174,15 +175,26 @@ class PrefixTree:
         ranks = rank[code]
         shared = ranks < kept
         ranks, owner = ranks[shared], owner[shared]
-        self.member = np.zeros((kept, len(sets)), dtype=bool)
-        self.member[ranks, owner] = True
         by = np.lexsort((ranks, owner))
-        cuts = np.searchsorted(owner[by], np.arange(len(sets) + 1))
-        self.paths = [ranks[by][cuts[i]:cuts[i + 1]] for i in range(len(sets))]
+        steps, cuts = ranks[by], np.searchsorted(owner[by], np.arange(len(sets) + 1))
+        self.paths = [steps[cuts[i]:cuts[i + 1]] for i in range(len(sets))]  # views of one array
+        by = np.argsort(ranks, kind="stable")
+        self.owners, self.starts = owner[by], np.searchsorted(ranks[by], np.arange(kept + 1))
         self.size = np.array([len(s) for s in sets], dtype=np.int64)
-        self.after = self.member.sum(axis=0).astype(np.int64)  # shared shingles of each set
+        self.after = np.diff(cuts)  # shared shingles of each set
+        self.count = np.zeros(len(sets), dtype=np.int64)
         self.stored = sorted(np.flatnonzero(stored).tolist(), key=lambda i: self.paths[i].tolist())
 
+    def holding(self, steps: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """How many of the path steps each of the sets ``among`` holds, from the steps' postings."""
+        held = [self.owners[self.starts[r]:self.starts[r + 1]] for r in steps.tolist()]
+        for h in held:
+            self.count[h] += 1
+        got = self.count[among]
+        for h in held:
+            self.count[h] = 0
+        return got
+
     def search(self, probes: np.ndarray, percent: int, visit) -> None:
         """Calls visit(stored set, probes that reach the percentage) for every stored set.
 
@@ -200,7 +212,7 @@ class PrefixTree:
             same = first[depth:limit] != last[depth:limit]
             to = depth + (int(np.argmax(same)) if same.any() else limit - depth)
             if to > depth:
-                step = self.member[np.ix_(first[depth:to], alive)].sum(axis=0)
+                step = self.holding(first[depth:to], alive)
                 overlap = overlap + step
                 left = left - step
             least = int(self.size[group].min())
@@ -321,7 +333,7 @@ def _across(percent: int):
 # ---------------------------------------------------------------- the job
 def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``.
+    """(doc_id, n_shingles, class_id, component_id, text_key, kept) for every row of ``docs``.
 
     Words are lower-cased (A-Z) and cut at ASCII blanks; a text's set holds its distinct
     ``width``-word windows, or its whole word sequence where that is shorter. Two sets
@@ -329,15 +341,20 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
     the same set, component_id the smallest id that links lead to.
 
     Null texts and texts without words have an empty set, link with nothing and keep
-    their own id. Rows with equal ids are separate rows; null ids stay null unless links
+    their own id. kept marks the first row of each group by (doc_id, text_key), null ids last; text_key
+    is ``common.text_hash`` of the text, so repeated rows are all kept or all not. Rows without
+    words are kept. Rows with equal ids are separate rows; null ids stay null unless links
     lead to a smaller one. An empty table gives an empty result. Columns other than the
     two named are never read, so their names can't clash.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must lie in 50..100")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_key"),
+                       F.col(text_col).alias("text"))
     sets = written(base.mapInArrow(_emit_sets(width, percent),
-                                   "doc_id long, sig long, n long, given long, toks array<long>"), "sets", BATCH_ROWS)
+                                   "doc_id long, text_key long, sig long, n long, given long, toks array<long>"),
+                   "sets", BATCH_ROWS)
+    # one row of each set: the text is read again by the row's id
     reps = (sets.where(F.col("sig").isNotNull()).groupBy("sig")
             .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("given").alias("given")))
 
@@ -366,19 +383,21 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
                 .otherwise(0).alias("alone"),
                 F.expr("transform(slice(shared, 1, cast(least(left, size(shared)) as int)), x -> x.tok)").alias("prefix")),
         "prefixes")
-    ids = written(sets.select("doc_id", "sig", "n"), "ids")
-    reps = ids.where(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    ids = written(sets.select("doc_id", "text_key", "sig", "n"), "ids")
+    row = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_key")
+    reps = ids.where(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min(row).alias("first"))
     discard(sets)
     # rest: shingles of the set from this one on, in the global order
     postings = prefixes.select("sig", "n", "alone", F.posexplode("prefix").alias("pos", "tok")).select(
         "sig", "n", "tok", (F.col("n") - F.col("alone") - F.col("pos")).alias("rest"))
     bucket = postings.groupBy("tok").agg(F.count("*").alias("sets"), F.sum("n").alias("load")).where("sets > 1")
 
-    # step 2: each set enters the trees of its least-hashed buckets
+    # step 2: each set enters the trees of its largest bucket and of its least-hashed ones
     met = postings.join(bucket, "tok")
-    homes = met.groupBy("sig").agg(F.first("n").alias("n"), *[
-        F.min(F.struct(F.xxhash64(F.col("tok"), F.lit(k)).alias("h"), "tok", "load")).alias(f"h{k}")
-        for k in range(HOMES)])
+    homes = met.groupBy("sig").agg(
+        F.first("n").alias("n"), F.max(F.struct("load", "tok")).alias("h0"),
+        *[F.min(F.struct(F.xxhash64(F.col("tok"), F.lit(k)).alias("h"), "tok", "load")).alias(f"h{k}")
+          for k in range(1, HOMES)])
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_RATIO)))
 
     def block(k: int):
@@ -429,10 +448,11 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 75, width: int = 5, id_co
         labels = components(links.unionByName(more))
 
     # step 4
-    named = reps.select("sig", "rep").join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
+    named = reps.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "label", F.coalesce("label", "sig"))
-    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    classes = named.join(least, "label").select("sig", F.col("rep").alias("class_id"), "component_id")
-    return (ids.select("doc_id", "sig", F.col("n").alias("n_shingles")).join(classes, "sig", "left")
-            .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+    least = named.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("first").alias("group_first"))
+    classes = named.join(least, "label").select("sig", F.col("rep").alias("class_id"), "component_id", "group_first")
+    kept = F.col("sig").isNull() | row.eqNullSafe(F.col("group_first"))
+    return (ids.join(classes, "sig", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
+                    F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", kept.alias("kept")))

@@ -36,7 +36,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_jaccard_join(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    joined = ngram_join.ngram_jaccard_join(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return joined.select("doc_id", "n_shingles", "class_id", "component_id")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
