@@ -22,13 +22,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each n-gram Jaccard group: the one with the smallest id. Of rows with
+    """One document of each n-gram Jaccard group: the first by id and text. Rows are told
+    apart by id and text, so a clean text stays though its id stands on a copy too. Of rows with
     equal id and text one stays; documents without words stay."""
-    joined = ngram_join.ngram_jaccard_join(docs)
-    gone = joined.where((F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(small_side(gone.select(F.col("doc_id").alias("__gone")), 1_000_000),
-                     F.col("doc_id") == F.col("__gone"), "left_anti")
-    return kept.withColumn("__key", text_hash("text")).dropDuplicates(["doc_id", "__key"]).drop("__key")
+    gone = (ngram_join.ngram_jaccard_join(docs).where(~F.col("kept"))
+            .select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__gone_key")).distinct())
+    keyed = docs.withColumn("__key", text_hash("text"))
+    kept = keyed.join(small_side(gone, 1_000_000),
+                      F.col("doc_id").eqNullSafe(F.col("__gone")) & (F.col("__key") == F.col("__gone_key")), "left_anti")
+    return kept.dropDuplicates(["doc_id", "__key"]).drop("__key")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
