@@ -183,10 +183,10 @@ def kd_shards(docs: DataFrame, shards: int | None = 8, target_bytes: int | None
         F.col("shard_no").alias("shard"), "tie")
     if not slots:
         return placed.drop("tie")
-    return _with_slots(placed, kept, slim.count())
+    return _with_slots(placed, kept, slim.count(), id_col)
 
 
-def _with_slots(placed: DataFrame, kept: list[str], rows: int) -> DataFrame:
+def _with_slots(placed: DataFrame, kept: list[str], rows: int, id_col: str) -> DataFrame:
     """Slots from counts per bucket of the tie and a rank inside the bucket, so no shard is
     ordered in one task. Columns of the documents travel with their row."""
     parts = max(1, rows // SLOT_ROWS)
@@ -196,7 +196,8 @@ def _with_slots(placed: DataFrame, kept: list[str], rows: int) -> DataFrame:
     before = count.select("shard", bucket, (F.sum("c").over(Window.partitionBy("shard").orderBy(bucket)) - F.col("c"))
                           .alias("before"))
     before = small_side(before.select(F.col("shard").alias("s"), F.col(bucket).alias("b"), "before"), 1_000_000)
-    rank = F.row_number().over(Window.partitionBy("shard", bucket).orderBy("tie")) - 1
+    order = [F.col("tie"), F.col(f"`{id_col}`"), F.col("size")]  # the tie holds 30 bits of the id's hash
+    rank = F.row_number().over(Window.partitionBy("shard", bucket).orderBy(*order)) - 1
     ranked = held.withColumn("in_bucket", rank)
     return ranked.join(before, (F.col("shard") == F.col("s")) & (F.col(bucket) == F.col("b"))).select(
         *[F.col(f"`{c}`") for c in kept], "size", "text_crc32", "shard",

@@ -24,9 +24,10 @@ def word_count(text: Column) -> Column:
     return F.size(blank_words(text)).cast("long")
 
 
-def order_key(id_col: Column, seed: str) -> Column:
-    """Seeded order of documents within a source: the MD5 digest of seed and id."""
-    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(id_col.cast("string"), F.lit(""))))
+def order_key(id_col: Column, text_col: Column, seed: str) -> Column:
+    """Seeded order of documents within a source: the MD5 digest of seed, id and the text's digest."""
+    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(id_col.cast("string"), F.lit("")),
+                             F.coalesce(F.md5(text_col), F.lit(""))))
 
 
 def water_fill(sizes: DataFrame, share: float, max_epochs: float) -> DataFrame:
@@ -79,7 +80,7 @@ def mixing_plan(docs: DataFrame, weights: DataFrame, share: float = 1.5, max_epo
     only documents of the one bucket in which a source's rest ends are ordered one by one.
     """
     slim = written(docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-                               order_key(F.col(id_col), seed).alias("k")), "sizes")
+                               order_key(F.col(id_col), F.col(text_col), seed).alias("k")), "sizes")
     bucket = F.substring("k", 1, BUCKET_DIGITS).alias("bucket")
     part = written(slim.groupBy("source", bucket).agg(F.sum("size").alias("size")), "buckets")
     total = part.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -110,14 +111,14 @@ def mixing_plan(docs: DataFrame, weights: DataFrame, share: float = 1.5, max_epo
                               F.coalesce("last", "b", F.lit("")).alias("cut")), "cuts")
 
 
-def planned_repeats(docs: DataFrame, plan: DataFrame, seed: str = "mix", id_col: str = "doc_id",
+def planned_repeats(docs: DataFrame, plan: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", name: str = "repeats") -> DataFrame:
     """``docs`` with source_size, target and ``name``: how often the mix takes the row."""
     side = small_side(plan.select(F.col("source").alias("__s"), F.col("source_size").alias("__size"),
                                   F.col("target").alias("__target"), F.col("epochs").alias("__epochs"),
                                   F.col("cut").alias("__cut")))
     joined = docs.join(side, docs[source_col].eqNullSafe(F.col("__s")))
-    extra = (order_key(docs[id_col], seed) <= F.col("__cut")).cast("int")
+    extra = (order_key(docs[id_col], docs[text_col], seed) <= F.col("__cut")).cast("int")
     kept = [docs[c] for c in docs.columns if c.lower() not in ("source_size", "target", name)]
     return joined.select(*kept, F.col("__size").alias("source_size"), F.col("__target").alias("target"),
                          (F.col("__epochs") + extra).alias(name))
@@ -128,14 +129,14 @@ def mix_sources(docs: DataFrame, weights: DataFrame, share: float = 1.5, max_epo
     """The mixed table: rows of ``docs``, each as often as the plan takes it.
 
     Null texts have size 0 and follow their source's repetitions; a null source is a source.
-    Rows with equal ids share one decision, so repeated rows are taken alike. Whole rows are
-    taken: a source's words miss its target by at most half its largest row (or group of rows
-    of one id). Sources that ``weights`` lacks or gives 0 are left out. Same seed, same
+    Rows with equal id and text share one decision, so repeated rows are taken alike; null ids are
+    told apart by their texts. Whole rows are taken: a source's words miss its target by at
+    most half its largest row (or group of repeated rows). An empty table gives an empty one. Sources that ``weights`` lacks or gives 0 are left out. Same seed, same
     result. Columns come back as they were.
     """
     plan = mixing_plan(docs, weights, share, max_epochs, seed, id_col, text_col, source_col)
     name = fresh(docs.columns, "__repeats")
-    rep = planned_repeats(docs.select("*"), plan, seed, id_col, source_col, name).where(F.col(name) > 0)
+    rep = planned_repeats(docs.select("*"), plan, seed, id_col, text_col, source_col, name).where(F.col(name) > 0)
     once = rep.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(name))).alias(name))
     return once.drop(name)
 

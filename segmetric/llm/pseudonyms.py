@@ -10,12 +10,14 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segmetric.llm.common import local_table, written
+
 ROUNDS = 8
-#: Dates from 1900-01-01 on, 270 * 270 days (until 2099-08-05).
-DATE_SIDE = 270
+#: Days from 1900-01-01 to 2099-12-31: 17 * 4,297.
+DATE_SIDES = (17, 4297)
 
 _START, _END = r"(?<![0-9A-Za-z.\-+])", r"(?![0-9A-Za-z\-]|\.[0-9])"
 _PATTERNS = {
@@ -31,7 +33,8 @@ _SHORT_CARD = r"(?:[0-9]{4}(?<v>[ \-])[0-9]{4}\k<v>[0-9]{4}\k<v>[0-9]{1,3})"
 #: Groups of a phone number are not taken out of a row of four or more groups of four.
 _PHONE = (r"(?<![0-9A-Za-z.\-+(])(?![0-9]{4}(?<y>[ \-])[0-9]{4}\k<y>[0-9]{4}\k<y>[0-9]{1,4}(?![0-9]))"
           r"(?!(?<=[0-9]{4}[ \-])[0-9]{4}[ \-][0-9]{4}[ \-][0-9]{3,4}(?![0-9]))"
-          r"(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .\-][0-9]{3,4}[ .\-][0-9]{3,4}(?![0-9A-Za-z\-]|\.[0-9])")
+          r"(?:\+[0-9]{8,15}|(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{2,4}[ .\-])[0-9]{3,4}[ .\-][0-9]{3,4})"
+          r"(?![0-9A-Za-z\-]|\.[0-9])")
 #: Scans in order; each reads what the ones before left, so a span that fails its check is matched again.
 _SCANS = [
     "|".join(f"(?:{p})" for p in [*_PATTERNS.values(), f"{_START}(?:{_LONG_CARD}|{_WHOLE_CARD}|{_SHORT_CARD}){_END}"]),
@@ -50,8 +53,8 @@ def _quoted(text: str) -> str:
 
 
 def _round(key: str, kind: str, i: str, other: str) -> str:
-    """Round value from SHA-256 over key, kind, round and the other half; below 2**59."""
-    return f"cast(conv(substr(sha2(concat_ws('|', {_quoted(key)}, {kind}, {i}, {other}), 256), 1, 14), 16, 10) as bigint)"
+    """Round value from SHA-256 over key (an SQL expression), kind, round and the other half; below 2**59."""
+    return f"cast(conv(substr(sha2(concat_ws('|', {key}, {kind}, {i}, {other}), 256), 1, 14), 16, 10) as bigint)"
 
 
 def feistel(left: str, right: str, left_mod: str, right_mod: str, key: str, kind: str) -> str:
@@ -124,14 +127,20 @@ def _ip(m: str, key: str) -> str:
         "concat_ws('.', ip.l div 256, ip.l % 256, ip.r div 256, ip.r % 256)"))
 
 
+def _day_first(m: str) -> str:
+    """SQL: whether a slash date only makes sense as dd/mm/yyyy."""
+    return f"(substr({m}, 3, 1) = '/' AND substr({m}, 1, 2) > '12')"
+
+
 def _date_format(m: str) -> str:
-    return f"CASE WHEN substr({m}, 5, 1) = '-' THEN 'yyyy-MM-dd' WHEN substr({m}, 3, 1) = '.' THEN 'dd.MM.yyyy' ELSE 'MM/dd/yyyy' END"
+    return (f"CASE WHEN substr({m}, 5, 1) = '-' THEN 'yyyy-MM-dd' WHEN substr({m}, 3, 1) = '.' THEN 'dd.MM.yyyy' "
+            f"WHEN {_day_first(m)} THEN 'dd/MM/yyyy' ELSE 'MM/dd/yyyy' END")
 
 
 def _date_parts(m: str) -> str:
     """SQL: array of year, month, day as text."""
     return (f"CASE WHEN substr({m}, 5, 1) = '-' THEN array(substr({m}, 1, 4), substr({m}, 6, 2), substr({m}, 9, 2)) "
-            f"WHEN substr({m}, 3, 1) = '.' THEN array(substr({m}, 7, 4), substr({m}, 4, 2), substr({m}, 1, 2)) "
+            f"WHEN substr({m}, 3, 1) = '.' OR {_day_first(m)} THEN array(substr({m}, 7, 4), substr({m}, 4, 2), substr({m}, 1, 2)) "
             f"ELSE array(substr({m}, 7, 4), substr({m}, 1, 2), substr({m}, 4, 2)) END")
 
 
@@ -141,17 +150,18 @@ def _days(m: str) -> str:
 
 
 def _date(m: str, key: str) -> str:
-    side = str(DATE_SIDE)
+    side = str(DATE_SIDES[1])
     return _let("dd", _days(m), _let(
-        "dq", feistel(f"dd div {side}", f"dd % {side}", side, side, key, _quoted("date")), _let(
+        "dq", feistel(f"dd div {side}", f"dd % {side}", str(DATE_SIDES[0]), side, key, _quoted("date")), _let(
             "dn", f"cast(date_add(date'1900-01-01', cast(dq.l * {side} + dq.r as int)) as string)",
             f"CASE {_date_format(m)} WHEN 'yyyy-MM-dd' THEN dn "
             "WHEN 'dd.MM.yyyy' THEN concat_ws('.', substr(dn, 9, 2), substr(dn, 6, 2), substr(dn, 1, 4)) "
+            "WHEN 'dd/MM/yyyy' THEN concat_ws('/', substr(dn, 9, 2), substr(dn, 6, 2), substr(dn, 1, 4)) "
             "ELSE concat_ws('/', substr(dn, 6, 2), substr(dn, 9, 2), substr(dn, 1, 4)) END")))
 
 
 def _email(m: str, key: str) -> str:
-    return f"concat('user-', substr(sha2(concat_ws('|', {_quoted(key)}, 'email', lower({m})), 256), 1, 20), '@example.invalid')"
+    return f"concat('user-', substr(sha2(concat_ws('|', {key}, 'email', lower({m})), 256), 1, 20), '@example.invalid')"
 
 
 def _kind(m: str) -> str:
@@ -164,11 +174,13 @@ def _kind(m: str) -> str:
 
     digits = f"regexp_replace({m}, '[^0-9]', '')"
     return (f"CASE WHEN {is_('email')} THEN 'email' "
-            f"WHEN {is_('date')} THEN if({_days(m)} between 0 and {DATE_SIDE * DATE_SIDE - 1}, 'date', null) "
+            f"WHEN {is_('date')} THEN if({_days(m)} between 0 and {DATE_SIDES[0] * DATE_SIDES[1] - 1}, 'date', null) "
             f"WHEN {is_('ssn')} THEN if(substr({m}, 1, 3) not in ('000', '666') and substr({m}, 1, 3) < '900' "
             f"and substr({m}, 5, 2) <> '00' and substr({m}, 8, 4) <> '0000', 'ssn', null) "
             f"WHEN {is_('ip')} THEN if(forall(split({m}, '[.]'), o -> cast(o as int) <= 255 and (o = '0' or o not like '0%')), 'ip', null) "
             f"WHEN {is_('card')} THEN {_let('kd', digits, 'if(' + luhn_sum('kd', False) + ' % 10 = 0, ' + _quoted('card') + ', null)')} "
+            # three groups with blanks and no other sign of a phone are often plain numbers
+            f"WHEN {m} rlike '^[0-9]+ [0-9]+ [0-9]+$' AND NOT {m} rlike '^(?:0[0-9 ]+|[2-9][0-9]{{2}} [2-9][0-9]{{2}} [0-9]{{4}})$' THEN null "
             f"ELSE if(length({digits}) between 8 and 15, 'phone', null) END")
 
 
@@ -185,23 +197,33 @@ def _scan(pattern: str, key: str) -> str:
     return f"flatten(transform(__segs, s -> if(s.k is not null, array(s), {_let('ms', matches, f'if(size(ms) = 0, array(s), {pieces})')})))"
 
 
-def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+def key_table(spark: SparkSession, key: str) -> DataFrame:
+    """One-row table (key) in the shared scratch folder. A plan that reads it holds the path and
+    not the key, so ``explain`` and event logs don't show the secret."""
+    return written(local_table(spark, [(key,)], "key string"), "key")
+
+
+def pseudonymise(docs: DataFrame, keys: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the text's personal values replaced, plus pii: map from kind to count.
 
     Kinds: card (13 to 19 digits, Luhn; network digit kept, check digit renewed), phone (8 to
     15 digits, layout and international prefix kept), ssn, ip (IPv4), date (ISO, dd.mm.yyyy,
-    mm/dd/yyyy, in the calendar from 1900 to 2099), email. Cards in their usual groupings are
+    mm/dd/yyyy, or dd/mm/yyyy where the first number is above 12, in the calendar from 1900 to
+    2099), email. Phones are three groups with hyphens or dots, three groups with blanks if they
+    start with 0 or are 3-3-4 digits with both first groups from 200 on, or anything after
+    ``+`` or with an area code in brackets; ten digits in a row are no phone. Cards in their usual groupings are
     settled before phones, phones before cards in any other grouping; a span that fails its
     check is matched again by the scans that follow, and stays as it is if none holds. Texts are read whole; null texts stay null with an empty map. Every row
-    comes back once, with all its columns; a column named pii is replaced. The key is a secret
-    of the caller: with it the permutations can be undone.
+    comes back once, with all its columns; a column named pii is replaced. ``keys`` is a
+    one-row table with the column key, a secret of the caller: with it the permutations can be
+    undone. It is read by a subquery and never a literal of the plan.
     """
     kept = [c for c in docs.columns if c.lower() != "pii"]
     text = F.col(f"`{text_col}`")
-    named = docs.select(*[F.col(f"`{c}`") for c in kept], F.array(
+    named = docs.select(*[F.col(f"`{c}`") for c in kept], keys.select("key").scalar().alias("__secret"), F.array(
         F.struct(text.alias("t"), F.lit(None).cast("string").alias("k"))).alias("__segs"))
     for pattern in _SCANS:
-        named = named.withColumn("__segs", F.when(text.rlike("[0-9@]"), F.expr(_scan(pattern, key))).otherwise(F.col("__segs")))
+        named = named.withColumn("__segs", F.when(text.rlike("[0-9@]"), F.expr(_scan(pattern, "__secret"))).otherwise(F.col("__segs")))
     named = named.withColumn("__kinds", F.expr("transform(filter(__segs, s -> s.k <> ''), s -> s.k)"))
     new = F.when(F.size("__kinds") == 0, text).otherwise(F.expr("array_join(transform(__segs, s -> s.t), '')"))
     counts = F.expr("map_from_entries(transform(array_distinct(__kinds), k -> struct(k, size(filter(__kinds, x -> x = k)))))")

@@ -77,7 +77,7 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
     plan = mixing.mixing_plan(docs, mixing.by_code_point(docs, MIX_WEIGHTS), MIX_SHARE, MIX_EPOCHS, MIX_SEED)
-    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", "text", mixing.word_count(F.col("text")).alias("size"))
     return mixing.planned_repeats(sized, plan, MIX_SEED).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"),
         (F.col("size") * F.col("repeats")).alias("taken"))
@@ -85,7 +85,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    done = pseudonyms.pseudonymise(docs, PII_KEY)
+    done = pseudonyms.pseudonymise(docs, pseudonyms.key_table(spark, PII_KEY))
     return done.select("doc_id", "text", pseudonyms.pii_total("pii").alias("n_values"),
                        F.array_join(F.array_sort(F.map_keys("pii")), ",").alias("kinds"))
 
@@ -188,16 +188,16 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-t AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  SELECT q.vec_id AS query_id, q.v AS q, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM (SELECT DISTINCT vec_id, v FROM v) q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 5
 """
 
 _OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(md5(text), '')) AS k FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, [3.0, 1.0, 2.0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INTEGER) + 1]::DOUBLE AS w,
               2.0::DOUBLE * source_size AS cap FROM s0),

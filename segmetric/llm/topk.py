@@ -137,14 +137,17 @@ def exact_top_k(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_i
     row whose id is divisible by ``every``; ties go to the smaller id.
 
     Null vectors, empty ones and those with null or non-finite components take no part, nor
-    do rows with null id. Rows with equal id and vector are read once. A query meets vectors
-    of its own length only, never rows of its own id; with fewer candidates than k all are
-    given. Several vectors under one query id are separate queries under that id, ranked
-    each for itself. Scores must fit 64 bits. An empty table gives an empty result.
+    do rows with null id. Every row is a candidate, so repeated rows take several ranks. A
+    query meets vectors of its own length only, never rows of its own id; with fewer candidates
+    than k all are given. Repeated query rows are asked once; several vectors under one query
+    id are separate queries under that id, ranked each for itself. Scores must fit 64 bits. An empty table gives an empty result.
     """
-    base = integer_vectors(df, id_col, vec_col, scale).withColumn("dim", F.size("v")).dropDuplicates(["vec_id", "v"])
+    base = integer_vectors(df, id_col, vec_col, scale).groupBy("vec_id", "v").agg(F.count("*").alias("copies")).withColumn(
+        "dim", F.size("v"))
     cast = "dim int, ids array<long>, vals array<long>"
-    sorted_rows = base.repartitionByRange("dim", "vec_id").sortWithinPartitions("dim", "vec_id")
+    # of equal rows no more than k can be among the k best
+    candidates = base.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)).cast("int"))))
+    sorted_rows = candidates.repartitionByRange("dim", "vec_id").sortWithinPartitions("dim", "vec_id")
     stripes = written(sorted_rows.select("vec_id", "dim", "v").mapInArrow(_pack(BLOCK * STRIPE), cast), "stripes")
     asked = base.where(F.col("vec_id") % every == 0)
     chunks = (asked.repartitionByRange("dim", "vec_id").sortWithinPartitions("dim", "vec_id")

@@ -30,3 +30,19 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert {r.doc_id for r in out.select("doc_id").collect()} <= ids
     assert out.where("shard is null or shard not between 0 and 7").count() == 0
+
+
+def test_near_duplicates_tells_rows_apart_by_id_and_text(spark):
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(2, base, "e"), (5, base + " more", "c"), (5, "a clean text of its own with enough words to be a set", "c"),
+            (7, "red green blue white black brown grey pink gold plum", "x"), (7, "red green blue white black brown grey pink gold", "y"),
+            (None, base, "n"), (9, None, "z"), (9, None, "z"), (9, "", "z"), (2, base, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    sevens = [x for x in left if x[0] == 7]
+    assert len(sevens) == 1
+    assert [x for x in left if x[0] != 7] == sorted(
+        [(2, base), (5, "a clean text of its own with enough words to be a set"), (9, None), (9, "")], key=str)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), SMALL).count() == 0
