@@ -8,12 +8,13 @@ estimator accepts weights and no class weighting is requested (C9).
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmetric.operators.distance import knn_join
+from segmetric.operators.logistic import LogisticModel, fit_logistic
 from segmetric.operators.splits import with_class_weight
 from segmetric.sources.tables import spread
 
@@ -39,18 +40,6 @@ def knn_scores(train: DataFrame, query: DataFrame, k: int, weights: str = "dista
 
 
 # ---------------------------------------------------------------- C1, C3-C7
-def logistic(C: float = 1.0, penalty: str = "l2", max_iter: int = 5000, n_rows: float | None = None,
-             weight_sum: float | None = None, tol: float = 1e-4):
-    """liblinear's objective C * sum(loss) + penalty maps to Spark's mean loss
-    + regParam * penalty with regParam = 1 / (C * sum of weights). Spark does not
-    penalise the intercept (documented deviation). tol is the original solver's
-    default stopping tolerance."""
-    denom = weight_sum if weight_sum is not None else (n_rows or 1.0)
-    return LogisticRegression(maxIter=int(max_iter), regParam=1.0 / (C * denom), standardization=False,
-                              elasticNetParam=1.0 if penalty == "l1" else 0.0, featuresCol="features",
-                              labelCol="label", tol=tol)
-
-
 # execution knobs only (no effect on the fitted trees): more nodes per
 # aggregation pass, node ids cached between levels, lineage cut periodically
 _TREE_SPEED = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
@@ -107,7 +96,7 @@ def baseline_models(seed: int = 42, model_set: str = "original") -> dict[str, di
     }
 
 
-_BUILDERS = {"logreg": logistic, "rf": random_forest, "et": extra_trees, "gbt": boosted_trees}
+_BUILDERS = {"rf": random_forest, "et": extra_trees, "gbt": boosted_trees}
 
 
 def positive_score(pred: DataFrame) -> DataFrame:
@@ -116,22 +105,24 @@ def positive_score(pred: DataFrame) -> DataFrame:
         "pred", F.col("prediction").cast("int"))
 
 
+def reduction_stage(red: tuple, label: str = "label", out: str = "__z"):
+    """Unfitted stage of a reduction, from features to ``out``."""
+    from segmetric.operators.reduce import CentredPCA, DiscriminantAxis
+
+    if red[0] == "pca":
+        return CentredPCA(inputCol="features", outputCol=out, k=int(red[1]))
+    if red[0] == "lda":
+        return DiscriminantAxis(inputCol="features", outputCol=out, labelCol=label)
+    return DiscriminantAxis(inputCol="features", outputCol=out, labelCol=label, slots=list(red[1]), passthrough=list(red[2]))
+
+
 def _reduce(spec: dict, train: DataFrame, data: DataFrame, label: str):
     """An optional reduction stage fitted on the training rows only (so it is
     refitted inside every CV fold): ("pca", k), ("lda",) or ("partial_lda", slots, passthrough)."""
-    from segmetric.operators.reduce import CentredPCA, DiscriminantAxis
-
     red = spec.get("reduce")
     if not red:
         return train, data
-    if red[0] == "pca":
-        stage = CentredPCA(inputCol="features", outputCol="__z", k=int(red[1]))
-    elif red[0] == "lda":
-        stage = DiscriminantAxis(inputCol="features", outputCol="__z", labelCol=label)
-    else:
-        stage = DiscriminantAxis(inputCol="features", outputCol="__z", labelCol=label, slots=red[1],
-                                 passthrough=red[2])
-    m = stage.fit(train)
+    m = reduction_stage(red, label).fit(train)
 
     def swap(df):
         return m.transform(df).drop("features").withColumnRenamed("__z", "features")
@@ -155,14 +146,14 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
         s = knn_scores(tr, q, params.get("k", 5), params.get("weights", "uniform"), params.get("p", 2))
         return s.withColumnRenamed("id", "row_id")
     train = train.withColumn("label", F.col(label).cast("double"))
-    # boosting and L-BFGS make many cheap passes: a few larger tasks; forests: one task per core
+    # boosting makes many cheap passes: a few larger tasks; forests: one task per core
     balanced = spec.get("class_weight", "balanced")
     if balanced not in (None, "balanced"):
         raise ValueError(f"unknown class_weight {balanced!r}")
-    tw = with_class_weight(train, "label", "weight") if balanced else train.withColumn("weight", F.lit(1.0))
-    tw = spread(tw, rows_per_task=_ROWS_PER_TASK if kind in ("gbt", "logreg") else None).cache()
     if kind == "logreg":
-        params["weight_sum"] = float(tw.agg(F.sum("weight")).first()[0])
+        return _fit_logistic(params, bool(balanced), train, data)
+    tw = with_class_weight(train, "label", "weight") if balanced else train.withColumn("weight", F.lit(1.0))
+    tw = spread(tw, rows_per_task=_ROWS_PER_TASK if kind == "gbt" else None).cache()
     if kind in ("rf", "et") and int(params.get("n_estimators", 400)) > _TREES_PER_JOB:
         return _forest_in_parts(kind, params, tw, data)
     est = _BUILDERS[kind](**params).setWeightCol("weight")
@@ -172,6 +163,19 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
     return out.select("row_id", "score", "pred")
 
 
+def _fit_logistic(params: dict, balanced: bool, train: DataFrame, data: DataFrame) -> DataFrame:
+    """One model of ``logistic.fit_logistic``, scored as an expression."""
+    rows = train.select("label", F.lit(0).alias("fold"), vector_to_array("features").alias("x"))
+    rows = spread(rows, rows_per_task=_ROWS_PER_TASK).cache()
+    w = fit_logistic(rows, [LogisticModel("x", balanced=balanced, **params)])[0]
+    rows.unpersist()
+    coefficients = F.array(*[F.lit(float(c)) for c in w[:-1]])
+    z = F.aggregate(F.zip_with(vector_to_array("features"), coefficients, lambda a, b: a * b), F.lit(float(w[-1])),
+                    lambda a, b: a + b)
+    return data.select("row_id", z.alias("__z")).select(
+        "row_id", (1 / (1 + F.exp(-F.col("__z")))).alias("score"), (F.col("__z") > 0).cast("int").alias("pred"))
+
+
 _TREES_PER_JOB = 100
 _ROWS_PER_TASK = 5000
 

@@ -35,16 +35,20 @@ def nearest_centre(cols: list[str], centres: list[list[float]]) -> F.Column:
     return F.array_min(F.array(*cands))["i"]
 
 
-def lloyd_kmeans(df: DataFrame, cols: list[str], init: list[list[float]], iterations: int = 5):
-    """Deterministic Lloyd iterations from given centres; an empty cluster keeps
-    its centre. Returns (labels DataFrame with 'cluster', centres)."""
-    centres = [list(map(float, c)) for c in init]
-    for _ in range(iterations):
-        assigned = df.select(*cols, nearest_centre(cols, centres).alias("cluster"))
-        rows = assigned.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols]).collect()
+def lloyd_kmeans(df: DataFrame, cols: list[str], init: list[list[float]]):
+    """Deterministic Lloyd iterations from given centres until no row changes its cluster; an empty
+    cluster keeps its centre. Returns (labels DataFrame with 'cluster', centres). One pass over ``df`` a
+    round (materialise it first): it counts the rows that the last centres moved and sums up the next ones."""
+    centres, before = [list(map(float, c)) for c in init], None
+    while True:
+        now = nearest_centre(cols, centres)
+        moved = F.lit(1) if before is None else (now != nearest_centre(cols, before)).cast("int")
+        assigned = df.select(*cols, now.alias("cluster"), moved.alias("__moved"))
+        rows = assigned.groupBy("cluster").agg(F.sum("__moved").alias("__moved"), *[F.avg(c).alias(c) for c in cols]).collect()
+        if not sum(r["__moved"] for r in rows):
+            return df.withColumn("cluster", now), centres
         new = {r["cluster"]: [r[c] for c in cols] for r in rows}
-        centres = [new.get(i, c) for i, c in enumerate(centres)]
-    return df.withColumn("cluster", nearest_centre(cols, centres)), centres
+        before, centres = centres, [new.get(i, c) for i, c in enumerate(centres)]
 
 
 @dataclass(frozen=True)

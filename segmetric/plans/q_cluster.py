@@ -8,7 +8,6 @@ exact oracles; the seeded Spark ML K-Means runs are rows-only checks.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -31,7 +30,6 @@ MIN_SAMPLES = 3
 EPS_QUANTILES = [0.90, 0.93, 0.95, 0.97, 0.99, 0.995, 0.999]
 KNN_CLASSIFY_K = 15
 SEG_K = 4
-SEG_ITERS = 5
 PROFILE_CATEGORICAL = ["mktsegment", "nation"]
 
 
@@ -202,9 +200,10 @@ def standardized_train(spark, sf_dir):
 
 def segment_labels(spark, sf_dir):
     df, cols = standardized_train(spark, sf_dir)
+    df = df.checkpoint(eager=True)
     key = shuffle_key("row_id", 42, portable=True)
     init = [[r[c] for c in cols] for r in df.orderBy(key, "row_id").limit(SEG_K).collect()]
-    lab, _ = K.lloyd_kmeans(df, cols, init, SEG_ITERS)
+    lab, _ = K.lloyd_kmeans(df, cols, init)
     return lab
 
 
@@ -215,21 +214,26 @@ c0 AS (SELECT CAST(row_number() OVER (ORDER BY (row_id * 7919 + 42) % 10007, row
               {", ".join(f"z_{c}" for c in PREP_NUM)}
        FROM z ORDER BY (row_id * 7919 + 42) % 10007, row_id LIMIT {SEG_K})"""]
 
-    def dist(cname):
-        return reduce(lambda a, b: f"({a} + {b})",
-                      [f"(z.z_{c} - {cname}.z_{c}) * (z.z_{c} - {cname}.z_{c})" for c in PREP_NUM])
-
-    for t in range(SEG_ITERS + 1):
-        parts.append(f"""a{t} AS (SELECT row_id, cid FROM (
-          SELECT z.row_id, c{t}.cid, row_number() OVER (PARTITION BY z.row_id ORDER BY {dist(f"c{t}")}, c{t}.cid) AS rk
-          FROM z, c{t}) WHERE rk = 1)""")
-        if t < SEG_ITERS:
-            avgs = ", ".join(f"avg(z.z_{c}) AS z_{c}" for c in PREP_NUM)
-            keep = ", ".join(f"coalesce(m.z_{c}, c{t}.z_{c}) AS z_{c}" for c in PREP_NUM)
-            parts.append(f"""c{t + 1} AS (SELECT c{t}.cid, {keep} FROM c{t} LEFT JOIN (
-              SELECT a{t}.cid, {avgs} FROM a{t} JOIN z ON a{t}.row_id = z.row_id GROUP BY a{t}.cid) m
-              ON c{t}.cid = m.cid)""")
-    parts.append(f"seg AS (SELECT row_id, cid AS cluster FROM a{SEG_ITERS})")
+    n = len(PREP_NUM)
+    dist = " + ".join(f"(v[{j}] - c[{j}]) * (v[{j}] - c[{j}])" for j in range(1, n + 1))
+    nearest = f"list_transform(centres, lambda c: {dist})"
+    mean = ", ".join(f"coalesce(avg(v[{j}]) FILTER (NOT kept), any_value(v[{j}]) FILTER (kept))" for j in range(1, n + 1))
+    # rounds until no row changes its cluster; a cluster without rows keeps its centre
+    parts.append(f"""zv AS (SELECT row_id, [{", ".join(f"z_{c}" for c in PREP_NUM)}] AS v FROM z),
+km(t, centres, labels, before) AS (
+  SELECT 0, (SELECT list([{", ".join(f"z_{c}" for c in PREP_NUM)}] ORDER BY cid) FROM c0), []::BIGINT[], NULL::BIGINT[]
+  UNION ALL
+  SELECT any_value(t) + 1, list(m ORDER BY cid) FILTER (m IS NOT NULL), flatten(list(coalesce(ids, []) ORDER BY cid)), any_value(labels)
+  FROM (
+    SELECT t, labels, cid, [{mean}] AS m, list(cid * 10000000000 + row_id ORDER BY row_id) FILTER (NOT kept) AS ids
+    FROM (
+      SELECT t, labels, v, list_position({nearest}, list_min({nearest})) - 1 AS cid, row_id, FALSE AS kept FROM km, zv
+      UNION ALL
+      SELECT t, labels, centres[i + 1], i, NULL, TRUE FROM km, range({SEG_K}) r(i))
+    GROUP BY t, labels, cid)
+  HAVING flatten(list(coalesce(ids, []) ORDER BY cid)) <> any_value(labels)),
+ke AS (SELECT centres FROM km ORDER BY t DESC LIMIT 1),
+seg AS (SELECT row_id, CAST(list_position({nearest}, list_min({nearest})) - 1 AS INTEGER) AS cluster FROM zv, ke)""")
     return ",\n".join(parts)
 
 
@@ -237,7 +241,7 @@ _SEG_SQL = f"{CP_SQL}, {_imputed_sql()},\n{_kmeans_sql()}"
 
 
 @register("kmeans_assign", f"""
-WITH {_SEG_SQL}
+WITH RECURSIVE {_SEG_SQL}
 SELECT row_id, cluster FROM seg
 """)
 def q_kmeans_assign(spark, sf_dir):
@@ -245,7 +249,7 @@ def q_kmeans_assign(spark, sf_dir):
 
 
 @register("segment_join", f"""
-WITH {_SEG_SQL}
+WITH RECURSIVE {_SEG_SQL}
 SELECT seg.row_id, seg.cluster, cp.lapsed FROM seg JOIN cp ON seg.row_id = cp.row_id
 """)
 def q_segment_join(spark, sf_dir):
@@ -253,7 +257,7 @@ def q_segment_join(spark, sf_dir):
 
 
 @register("cluster_sizes", f"""
-WITH {_SEG_SQL}
+WITH RECURSIVE {_SEG_SQL}
 SELECT cluster, CAST(count(*) AS BIGINT) AS count FROM seg GROUP BY cluster
 """)
 def q_cluster_sizes(spark, sf_dir):
@@ -262,7 +266,7 @@ def q_cluster_sizes(spark, sf_dir):
 
 
 @register("outcome_by_cluster", f"""
-WITH {_SEG_SQL}
+WITH RECURSIVE {_SEG_SQL}
 SELECT cluster, round(avg(lapsed), 6) AS outcome_rate, CAST(count(*) AS BIGINT) AS count
 FROM seg JOIN cp ON seg.row_id = cp.row_id GROUP BY cluster
 """)
@@ -272,7 +276,7 @@ def q_outcome_by_cluster(spark, sf_dir):
 
 
 @register("cluster_profile_numeric", f"""
-WITH {_SEG_SQL}, j AS (SELECT seg.cluster, cp.* EXCLUDE (row_id) FROM seg JOIN cp ON seg.row_id = cp.row_id)
+WITH RECURSIVE {_SEG_SQL}, j AS (SELECT seg.cluster, cp.* EXCLUDE (row_id) FROM seg JOIN cp ON seg.row_id = cp.row_id)
 SELECT cluster, {", ".join(f"round(avg({c}), 6) AS {c}__mean, round(quantile_cont({c}, 0.5), 6) AS {c}__median"
                             for c in NUMERIC)}
 FROM j GROUP BY cluster
@@ -283,7 +287,7 @@ def q_cluster_profile_numeric(spark, sf_dir):
 
 
 @register("cluster_profile_categorical", f"""
-WITH {_SEG_SQL}, j AS (SELECT seg.cluster, cp.mktsegment, cp.nation FROM seg JOIN cp ON seg.row_id = cp.row_id),
+WITH RECURSIVE {_SEG_SQL}, j AS (SELECT seg.cluster, cp.mktsegment, cp.nation FROM seg JOIN cp ON seg.row_id = cp.row_id),
 long AS (SELECT cluster, 'mktsegment' AS feature, mktsegment AS category FROM j
          UNION ALL SELECT cluster, 'nation', nation FROM j),
 c AS (SELECT cluster, feature, category, count(*) AS cnt FROM long WHERE category IS NOT NULL

@@ -210,7 +210,7 @@ def q_grid_search(spark, sf_dir):
     num = [i for i, n in enumerate(names) if n.startswith("num__")]
     rest = [i for i, n in enumerate(names) if not n.startswith("num__")]
     summary, params, _ = M.search(data, "logreg", REDUCED_LOGREG_GRID, n_iter=None,
-                                  base={"reduce": ("partial_lda", num, rest)}, balance_rows=False)
+                                  base={"reduce": ("partial_lda", tuple(num), tuple(rest))}, balance_rows=False)
     return summary.join(params, "param_id")
 
 
