@@ -1,18 +1,18 @@
 """Classifiers.
 
-Linear and tree models are Spark ML estimators configured to match the
-original project's parameters; the nearest-neighbour classifier is built on the exact
-kNN join. Balanced sample weights go through ``weightCol`` exactly when the
-estimator accepts weights and no class weighting is requested (C9).
+Forests are Spark ML estimators configured to match the original project's parameters; logistic
+and boosted models are fitted by ``logistic`` and ``boosting``; the nearest-neighbour classifier
+is built on the exact kNN join. Balanced row weights are used as ``fit_and_score`` states (C9).
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from segmetric.operators.boosting import BoostedModel, bin_edges, binned, fit_boosted, score
 from segmetric.operators.distance import knn_join
 from segmetric.operators.logistic import LogisticModel, fit_logistic
 from segmetric.operators.splits import with_class_weight
@@ -69,25 +69,38 @@ def extra_trees(**kw):
     return random_forest(**kw)
 
 
-def boosted_trees(learning_rate: float = 0.1, max_depth=None, max_iter: int = 100, min_samples_leaf: int = 20,
-                  subsample: float = 1.0, colsample: float = 1.0, gamma: float = 0.0, seed: int = 42, no_depth: int = 5):
-    """Gradient-boosted trees. ``no_depth`` is the depth that None stands for; column
-    sampling is per node; unknown settings are refused."""
-    fss = "all" if colsample >= 1.0 else str(colsample)
-    return GBTClassifier(stepSize=learning_rate, maxDepth=_depth(max_depth, no_depth), maxIter=int(max_iter),
-                         minInstancesPerNode=int(min_samples_leaf), subsamplingRate=subsample,
-                         featureSubsetStrategy=fss, minInfoGain=float(gamma), maxBins=255, seed=seed,
-                         featuresCol="features", labelCol="label", **_TREE_SPEED)
+def boosted_model(kind: str, view: str, *, max_iter: int = 100, learning_rate: float | None = None, max_depth=None,
+                  max_leaf_nodes=None, min_samples_leaf=None, min_child_weight=None, l2_regularization=None, subsample=None,
+                  colsample=None, gamma=None, seed: int = 42, **more) -> BoostedModel:
+    """C5 ``hgb``: leaf-wise, at most 31 leaves of 20 rows, no depth limit and no L2 unless asked.
+    C6 ``xgb``: every node down to depth 6, Hessian of 1 a leaf, L2 of 1, least gain ``gamma``,
+    columns drawn once a tree. A setting of the other form is refused."""
+    own = {"hgb": ("max_leaf_nodes", "min_samples_leaf", "l2_regularization"),
+           "xgb": ("l2_regularization", "min_child_weight", "subsample", "colsample", "gamma")}[kind]
+    given = {k: v for k, v in dict(max_leaf_nodes=max_leaf_nodes, min_samples_leaf=min_samples_leaf,
+                                   min_child_weight=min_child_weight, l2_regularization=l2_regularization,
+                                   subsample=subsample, colsample=colsample, gamma=gamma).items() if v is not None}
+    if not set(given) <= set(own):
+        raise ValueError(f"no settings of {kind}: {sorted(set(given) - set(own))}")
+    if kind == "hgb":
+        form = dict(rate=learning_rate or 0.1, depth=max_depth, leaves=int(given.get("max_leaf_nodes", 31)),
+                    least_rows=int(given.get("min_samples_leaf", 20)), l2=float(given.get("l2_regularization", 0.0)))
+    else:
+        form = dict(rate=learning_rate or 0.3, depth=6 if max_depth is None else int(max_depth), leaves=None, least_rows=1,
+                    least_hessian=float(given.get("min_child_weight", 1.0)), l2=float(given.get("l2_regularization", 1.0)),
+                    least_gain=float(given.get("gamma", 0.0)), subsample=float(given.get("subsample", 1.0)),
+                    colsample=float(given.get("colsample", 1.0)))
+    return BoostedModel(view, rounds=int(max_iter), seed=seed, **form, **more)
 
 
 def baseline_models(seed: int = 42, model_set: str = "original") -> dict[str, dict]:
     """Unfitted model specs: name -> {'kind', 'params', 'class_weight'}."""
     if model_set == "alt":
         return {
-            "hgb": {"kind": "gbt", "params": dict(learning_rate=0.1, max_depth=6, max_iter=300, seed=seed)},
+            "hgb": {"kind": "hgb", "params": dict(learning_rate=0.1, max_depth=6, max_iter=300, seed=seed)},
             "et": {"kind": "et", "params": dict(n_estimators=600, seed=seed), "class_weight": "balanced"},
             "rf": {"kind": "rf", "params": dict(n_estimators=400, seed=seed), "class_weight": "balanced"},
-            "xgb": {"kind": "gbt", "params": dict(learning_rate=0.3, max_depth=6, max_iter=100, seed=seed)},
+            "xgb": {"kind": "xgb", "params": dict(learning_rate=0.3, max_depth=6, max_iter=100, seed=seed)},
         }
     return {
         "logreg": {"kind": "logreg", "params": dict(C=1.0, penalty="l2"), "class_weight": "balanced"},
@@ -96,7 +109,7 @@ def baseline_models(seed: int = 42, model_set: str = "original") -> dict[str, di
     }
 
 
-_BUILDERS = {"rf": random_forest, "et": extra_trees, "gbt": boosted_trees}
+_BUILDERS = {"rf": random_forest, "et": extra_trees}
 
 
 def positive_score(pred: DataFrame) -> DataFrame:
@@ -146,15 +159,16 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
         s = knn_scores(tr, q, params.get("k", 5), params.get("weights", "uniform"), params.get("p", 2))
         return s.withColumnRenamed("id", "row_id")
     train = train.withColumn("label", F.col(label).cast("double"))
-    # boosting makes many cheap passes: a few larger tasks; forests: one task per core
     balanced = spec.get("class_weight", "balanced")
     if balanced not in (None, "balanced"):
         raise ValueError(f"unknown class_weight {balanced!r}")
     if kind == "logreg":
         return _fit_logistic(params, bool(balanced), train, data)
+    if kind in ("hgb", "xgb"):
+        return _fit_boosted(kind, params, bool(balanced), train, data)
     tw = with_class_weight(train, "label", "weight") if balanced else train.withColumn("weight", F.lit(1.0))
-    tw = spread(tw, rows_per_task=_ROWS_PER_TASK if kind == "gbt" else None).cache()
-    if kind in ("rf", "et") and int(params.get("n_estimators", 400)) > _TREES_PER_JOB:
+    tw = spread(tw).cache()
+    if int(params.get("n_estimators", 400)) > _TREES_PER_JOB:
         return _forest_in_parts(kind, params, tw, data)
     est = _BUILDERS[kind](**params).setWeightCol("weight")
     model = est.fit(tw)
@@ -176,6 +190,17 @@ def _fit_logistic(params: dict, balanced: bool, train: DataFrame, data: DataFram
         "row_id", (1 / (1 + F.exp(-F.col("__z")))).alias("score"), (F.col("__z") > 0).cast("int").alias("pred"))
 
 
+def _fit_boosted(kind: str, params: dict, balanced: bool, train: DataFrame, data: DataFrame) -> DataFrame:
+    """One model of ``boosting.fit_boosted``; class 1 where the log-odds are above 0."""
+    rows = train.select(F.xxhash64("row_id").alias("key"), "label", F.lit(0).alias("fold"), vector_to_array("features").alias("x"))
+    edges = bin_edges(rows, {"x": None})["x"]
+    rows = spread(rows.withColumn("x", binned("x", edges)), rows_per_task=_ROWS_PER_TASK).cache()
+    fitted = fit_boosted(rows, [boosted_model(kind, "x", balanced=balanced, **params)])[0]
+    rows.unpersist()
+    out = data.select("row_id", vector_to_array("features").alias("x")).withColumn("x", binned("x", edges))
+    return out.select("row_id", score(fitted).alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+
+
 _TREES_PER_JOB = 100
 _ROWS_PER_TASK = 5000
 

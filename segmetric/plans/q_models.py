@@ -64,7 +64,7 @@ def q_xgb_scores(spark, sf_dir):
 
 @register("gbt_sub_scores")
 def q_gbt_sub_scores(spark, sf_dir):
-    spec = {"kind": "gbt", "params": dict(learning_rate=0.1, max_depth=3, max_iter=100, subsample=0.8,
+    spec = {"kind": "xgb", "params": dict(learning_rate=0.1, max_depth=3, max_iter=100, subsample=0.8,
                                           colsample=0.8, gamma=0.1, seed=SEED)}
     return _scores(spark, sf_dir, spec)
 
@@ -231,22 +231,23 @@ def q_isotonic(spark, sf_dir):
     return M.oof_scores(data, {"kind": "logreg", "params": {"C": 1.0}}, calibrate="isotonic", seed=SEED)
 
 
+# fixed values: the grids over principal components that the results must cover
 PCA_COMPONENTS = [("pca", n) for n in (2, 3, 4, 5, 6, 8, 10, 12, 15)]
 PCA_BOOSTED = [("pca", n) for n in (5, 10, 15)]
 PCA_GRIDS = {
     "logreg": ("logreg", {"reduce": PCA_COMPONENTS, **REDUCED_LOGREG_GRID}),
     "knn": ("knn", {"reduce": PCA_COMPONENTS, "k": [3, 5, 7, 9, 11, 15, 21], "weights": ["uniform", "distance"],
                     "p": [1, 2]}),
-    "hgb": ("gbt", {"reduce": PCA_BOOSTED, "max_iter": [100, 200, 300], "learning_rate": [0.05, 0.1, 0.2],
+    "hgb": ("hgb", {"reduce": PCA_BOOSTED, "max_iter": [100, 200, 300], "learning_rate": [0.05, 0.1, 0.2],
                     "max_depth": [3, 5, None]}),
-    "xgb": ("gbt", {"reduce": PCA_BOOSTED, "max_iter": [100, 200], "max_depth": [3, 6], "learning_rate": [0.1, 0.2]}),
+    "xgb": ("xgb", {"reduce": PCA_BOOSTED, "max_iter": [100, 200], "max_depth": [3, 6], "learning_rate": [0.1, 0.2]}),
 }
 
 
 def _pca_search(spark, sf_dir, name):
     """PCA refitted inside every fold, full grid; row weights only where the candidate asks for them."""
     kind, space = PCA_GRIDS[name]
-    base = {"seed": SEED} if kind == "gbt" else None
+    base = {"seed": SEED} if kind in ("hgb", "xgb") else None
     summary, params, _ = M.search(_fold_frame(spark, sf_dir), kind, space, n_iter=None, base=base, balance_rows=False)
     return summary.join(params, "param_id")
 
