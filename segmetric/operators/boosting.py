@@ -107,16 +107,19 @@ def _matrix(values: pd.Series) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- sums, cuts, trees
-def descend(tree: np.ndarray, bins: np.ndarray) -> np.ndarray:
-    """The lowest node that each row reaches."""
-    at = np.zeros(len(bins), dtype=np.intp)
-    rows = np.arange(len(bins))
-    while len(rows):
-        here = tree[at[rows]]
-        inner = here["left"] >= 0
-        rows, here = rows[inner], here[inner]
-        at[rows] = here["left"] + (bins[rows, here["slot"]] > here["bin"])
-    return at
+def descend(tree: np.ndarray, bins: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """The lowest node that each row reaches, from the root or from where it stood before the tree grew."""
+    left, slot, edge = (np.ascontiguousarray(tree[c], dtype=np.intp) for c in ("left", "slot", "bin"))
+    at = np.zeros(len(bins), dtype=np.intp) if at is None else at
+    flat, rows = bins.ravel(), np.arange(len(bins))
+    while True:
+        here = at[rows]
+        inner = left[here] >= 0
+        if not inner.all():
+            rows, here = rows[inner], here[inner]
+        if not len(rows):
+            return at
+        at[rows] = left[here] + (flat[rows * bins.shape[1] + slot[here]] > edge[here])
 
 
 def _gradients(margin, y, weight) -> tuple[np.ndarray, np.ndarray]:
@@ -136,35 +139,39 @@ def _drawn(key: np.ndarray, model: BoostedModel, tree: int) -> np.ndarray:
 
 def partial_sums(bins: np.ndarray, g: np.ndarray, h: np.ndarray, node: np.ndarray, ask: list[int],
                  slots: np.ndarray) -> np.ndarray:
-    """Gradient, hessian and rows by (asked node, slot, bin). The sums are exact below 2^53, that
-    is for some 10^8 rows a task."""
+    """Gradient, hessian and rows (first axis) by asked node, slot and bin: whole numbers, exact below
+    2^53, that is for some 10^8 rows a task."""
     place = np.full(max(int(node.max(initial=0)), max(ask)) + 1, -1)
     place[ask] = np.arange(len(ask))
     p = place[node]
     mine = np.flatnonzero(p >= 0)
-    cell = ((p[mine, None] * len(slots) + np.arange(len(slots))) * BINS + bins[mine][:, slots]).ravel()
+    cell = ((p[mine, None] * len(slots) + np.arange(len(slots))) * BINS + bins[np.ix_(mine, slots)]).ravel()
     size = len(ask) * len(slots) * BINS
-    sums = [np.bincount(cell, np.repeat(v[mine], len(slots)), size) for v in (g, h)] + [np.bincount(cell, minlength=size)]
-    return np.stack(sums, axis=-1).astype(np.int64).reshape(len(ask), len(slots), BINS, 3)
+    sums = np.empty((3, size))
+    for row, v in enumerate((g, h)):
+        sums[row] = np.bincount(cell, np.repeat(v[mine], len(slots)), size)
+    sums[2] = np.bincount(cell, minlength=size)
+    return sums.reshape(3, len(ask), len(slots), BINS)
 
 
 def best_bins(sums: np.ndarray, m: BoostedModel) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Best gain (0: no cut allowed), its bin, sums left of it and whole sums, for sums shaped (..., bin, 3)."""
-    left = sums.cumsum(axis=-2)
-    whole = left[..., -1:, :]
+    """Best gain (0: no cut allowed), its bin, sums left of it and whole sums, for sums shaped (3, ..., bin)."""
+    left = np.cumsum(sums, axis=-1, dtype=np.float64)
+    whole = left[..., -1:]
     right = whole - left
 
     def strength(s):
-        return (s[..., 0] / SCALE) ** 2 / np.maximum(s[..., 1] / SCALE + m.l2, 1e-12)
+        g, h = s[0] / SCALE, s[1] / SCALE
+        return g * g / np.maximum(h + m.l2, 1e-12)
 
     gain = strength(left) + strength(right) - strength(whole)
-    ok = np.minimum(left[..., 2], right[..., 2]) >= max(m.least_rows, 1)
-    ok &= np.minimum(left[..., 1], right[..., 1]) / SCALE >= m.least_hessian
-    gain = np.where(ok & (gain > max(m.least_gain, 1e-12)), gain, 0.0)
+    ok = np.minimum(left[2], right[2]) >= max(m.least_rows, 1)
+    ok &= np.minimum(left[1], right[1]) >= m.least_hessian * SCALE
+    ok &= gain > max(m.least_gain, 1e-12)
+    gain *= ok
     at = gain.argmax(axis=-1)
-    pick = np.take_along_axis
-    return (pick(gain, at[..., None], -1)[..., 0], at,
-            pick(left, at[..., None, None], -2)[..., 0, :], whole[..., 0, :])
+    pick = np.take_along_axis(left, np.broadcast_to(at[..., None], (3, *at.shape, 1)), -1)[..., 0]
+    return np.take_along_axis(gain, at[..., None], -1)[..., 0], at, np.moveaxis(pick, 0, -1), np.moveaxis(whole[..., 0], 0, -1)
 
 
 class Grower:
@@ -262,9 +269,10 @@ def _fit_one(m: BoostedModel, start: float, weights: tuple[float, float], table:
     for no in range(m.rounds):
         drawn = _drawn(key, m, no)
         g, h = _gradients(margin[drawn], y[drawn], weight[drawn])
-        mine, grower = bins[drawn], Grower(m, no, bins.shape[1])
+        mine, grower, at = bins[drawn], Grower(m, no, bins.shape[1]), None
         while grower.ask:
-            grower.take(*best_bins(partial_sums(mine, g, h, descend(grower.array(), mine), grower.ask, grower.slots), m))
+            at = descend(grower.array(), mine, at)
+            grower.take(*best_bins(partial_sums(mine, g, h, at, grower.ask, grower.slots), m))
         trees.append(grower.tree())
         margin = margin + trees[-1]["value"][descend(trees[-1], bins)]
     return trees
@@ -312,16 +320,16 @@ def _fit_in_step(rows: DataFrame, models: list[BoostedModel], starts, weights, w
                         keep &= fold != m.held_out
                     b = bins[m.view][keep]
                     g, h = _gradients(margins[keep, i], y[keep], np.where(y[keep] == 1, weights[i][1], weights[i][0]))
-                    part = partial_sums(b, g, h, descend(so_far, b), ask, slots)
+                    part = partial_sums(b, g, h, descend(so_far, b), ask, slots).astype(np.int64)
                     total[i] = total[i] + part if i in total else part
             for i, _, _, ask, slots, _ in asked:
                 if i in total:
                     yield pd.DataFrame({"model": i, "node": np.repeat(ask, len(slots)), "slot": np.tile(slots, len(ask)),
-                                        "sums": [s.tobytes() for s in total[i].reshape(-1, BINS, 3)]})
+                                        "sums": [s.tobytes() for s in np.moveaxis(total[i].reshape(3, -1, BINS), 0, 1)]})
         return run
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(s, dtype=np.int64).reshape(BINS, 3) for s in pdf["sums"])
+        total = sum(np.frombuffer(s, dtype=np.int64).reshape(3, BINS) for s in pdf["sums"])
         gain, at, left, whole = best_bins(total, models[pdf["model"].iloc[0]])
         return pd.DataFrame({"model": pdf["model"].iloc[:1], "node": pdf["node"].iloc[:1], "slot": pdf["slot"].iloc[:1],
                              "gain": float(gain), "at": int(at), "left": [left.tolist()], "whole": [whole.tolist()]})
@@ -331,11 +339,11 @@ def _fit_in_step(rows: DataFrame, models: list[BoostedModel], starts, weights, w
         while asked := [(i, models[i], no, gr.ask, gr.slots, gr.array()) for i, gr in growers.items() if gr.ask]:
             found = (state.mapInPandas(sums_of(asked), "model int, node int, slot int, sums binary")
                      .groupBy("model", "node", "slot")
-                     .applyInPandas(best, "model int, node int, slot int, gain double, at int, left array<long>, whole array<long>"))
+                     .applyInPandas(best, "model int, node int, slot int, gain double, at int, left array<double>, whole array<double>"))
             cuts = {(r["model"], r["node"], r["slot"]): r for r in found.collect()}
             for i, _, _, ask, slots, _ in asked:
                 if (i, ask[0], int(slots[0])) not in cuts:  # no row was drawn
-                    growers[i].take(*best_bins(np.zeros((len(ask), len(slots), BINS, 3), dtype=np.int64), models[i]))
+                    growers[i].take(*best_bins(np.zeros((3, len(ask), len(slots), BINS)), models[i]))
                     continue
                 of = [[cuts[i, n, int(s)] for s in slots] for n in ask]
                 growers[i].take(*[np.array([[r[c] for r in row] for row in of]) for c in ("gain", "at", "left", "whole")])
