@@ -15,11 +15,13 @@ from segmetric.operators import cluster as K
 from segmetric.operators import reduce as R
 from segmetric.operators import splits as W
 from segmetric.operators import tune as M
+from segmetric.operators.boosting import bin_edges, binned, fit_boosted
 from segmetric.operators.evaluate import binary_metrics
 from segmetric.plans.catalog import register
 from segmetric.plans.common import round_floats
 from segmetric.plans.q_eval import doc_scores
 from segmetric.plans.q_prep import processed
+from segmetric.sources.profile import CP_SQL, customer_profile
 
 CV_THRESHOLDS = [0.3, 0.4, 0.5, 0.6, 0.7]
 SEED = 42
@@ -62,6 +64,55 @@ def q_xgb_scores(spark, sf_dir):
     return _scores(spark, sf_dir, C.baseline_models(SEED, "alt")["xgb"])
 
 
+STUMP_FEATURES = ["n_orders", "returned_lines", "region_code"]
+STUMP_RATE = 0.3
+
+
+def _stump_sql(no: int, before: str) -> str:
+    """CTE r<no>: the best cut of the train rows, given margins in CTE ``before`` (row_id, y, m)."""
+    return f"""
+gh{no} AS (SELECT row_id, y, m, 1 / (1 + exp(-m)) - y AS g, (1 / (1 + exp(-m))) * (1 - 1 / (1 + exp(-m))) AS h FROM {before}),
+v{no} AS (SELECT l.slot, l.x, sum(g) AS g, sum(h) AS h FROM gh{no} JOIN l USING (row_id) GROUP BY l.slot, l.x),
+w{no} AS (SELECT slot, x, lead(x) OVER (PARTITION BY slot ORDER BY x) AS nx,
+                 sum(g) OVER (PARTITION BY slot ORDER BY x) AS gl, sum(h) OVER (PARTITION BY slot ORDER BY x) AS hl,
+                 sum(g) OVER (PARTITION BY slot) AS gt, sum(h) OVER (PARTITION BY slot) AS ht FROM v{no}),
+r{no} AS (SELECT slot, (x + nx) / 2 AS cut, -{STUMP_RATE} * gl / (hl + 1) AS lv, -{STUMP_RATE} * (gt - gl) / (ht - hl + 1) AS rv
+          FROM w{no} WHERE nx IS NOT NULL AND hl >= 1 AND ht - hl >= 1
+          ORDER BY gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) DESC, slot, cut LIMIT 1)"""
+
+
+def _next_margin_sql(no: int) -> str:
+    return f"""
+m{no + 1} AS (SELECT gh{no}.row_id, y, m + CASE WHEN l.x <= r.cut THEN r.lv ELSE r.rv END AS m
+       FROM gh{no} CROSS JOIN r{no} r JOIN l ON l.row_id = gh{no}.row_id AND l.slot = r.slot)"""
+
+
+_STUMPS_SQL = f"""
+WITH {CP_SQL},
+t AS (SELECT * FROM cp WHERE split = 'train'),
+l AS ({" UNION ALL ".join(f"SELECT row_id, {i} AS slot, CAST(coalesce({c}, 0) AS DOUBLE) AS x FROM t" for i, c in enumerate(STUMP_FEATURES))}),
+m1 AS (SELECT row_id, lapsed AS y, ln(avg(lapsed) OVER () / (1 - avg(lapsed) OVER ())) AS m FROM t),
+{_stump_sql(1, "m1")},{_next_margin_sql(1)},
+{_stump_sql(2, "m2")},
+u AS (SELECT 1 AS tree, * FROM r1 UNION ALL SELECT 2 AS tree, * FROM r2)
+SELECT tree, ['{"', '".join(STUMP_FEATURES)}'][slot + 1] AS feature, cut, round(lv, 6) AS left_value, round(rv, 6) AS right_value FROM u
+"""
+
+
+@register("boosted_stumps", _STUMPS_SQL)
+def q_boosted_stumps(spark, sf_dir):
+    """C6 in closed form: two boosted trees of one cut each on three whole-number columns."""
+    train = customer_profile(spark, sf_dir).where(F.col("split") == "train")
+    rows = train.select(F.xxhash64("row_id").alias("key"), F.col("lapsed").alias("label"), F.lit(0).alias("fold"),
+                        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in STUMP_FEATURES]).alias("x"))
+    edges = bin_edges(rows, {"x": None})["x"]
+    model = C.boosted_model("xgb", "x", max_iter=2, learning_rate=STUMP_RATE, max_depth=1)
+    fitted = fit_boosted(rows.withColumn("x", binned("x", edges)), [model])[0]
+    out = [(n, STUMP_FEATURES[t["slot"][0]], float(edges[t["slot"][0]][t["bin"][0]]), float(t["value"][1]), float(t["value"][2]))
+           for n, t in enumerate(fitted.trees, 1) if len(t) == 3]
+    return round_floats(spark.createDataFrame(out, "tree int, feature string, cut double, left_value double, right_value double"))
+
+
 @register("gbt_sub_scores")
 def q_gbt_sub_scores(spark, sf_dir):
     spec = {"kind": "xgb", "params": dict(learning_rate=0.1, max_depth=3, max_iter=100, subsample=0.8,
