@@ -60,18 +60,14 @@ def q_mutual_info(spark, sf_dir):
     return round_floats(top.select("feature", "mi", F.col("rank").cast("int")))
 
 
-# integer-valued profile columns: x +- r is exact, so the interval test equals |x_j - x_i| < r
-KNN_MI_FEATURES = ["tenure_days", "recency_days", "n_orders", "total_qty", "returned_lines"]
-
-
-def _int_long_sql() -> str:
-    return " UNION ALL ".join(
-        f"SELECT row_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, lapsed AS label FROM cp "
-        f"WHERE split = 'train' AND {c} IS NOT NULL" for c in KNN_MI_FEATURES)
+#: Values are put on a grid of 2^-20 (of a standard deviation, for scaled columns): x +- r is then
+#: exact, so the interval test equals |x_j - x_i| < r for fractional columns too.
+KNN_MI_GRID = 2 ** 20
 
 
 @register("mutual_info_knn", f"""
-WITH {CP_SQL}, b0 AS ({_int_long_sql()}),
+WITH {_MATRIX_SQL},
+b0 AS (SELECT row_id, feature, floor(x * {KNN_MI_GRID} + 0.5) / {KNN_MI_GRID} AS x, label FROM mat),
 sz AS (SELECT feature, label, count(*) AS n_c FROM b0 GROUP BY feature, label),
 b AS (SELECT b0.*, sz.n_c FROM b0 JOIN sz ON b0.feature = sz.feature AND b0.label = sz.label WHERE n_c > 1),
 rk AS (SELECT *, row_number() OVER (PARTITION BY feature, label ORDER BY x, row_id) - 1 AS r FROM b),
@@ -91,12 +87,6 @@ mi AS (SELECT feature, greatest({_digamma_sql("N")} + pk - pn - pm, 0.0) AS mi F
 {_top_sql("mi")}
 """)
 def q_mutual_info_knn(spark, sf_dir):
-    from segmetric.operators.quantiles import to_long
-    from segmetric.sources.profile import customer_profile
-
-    train = customer_profile(spark, sf_dir).where(F.col("split") == "train")
-    long = to_long(train, KNN_MI_FEATURES, ["row_id", "lapsed"],
-                   name_col="feature").withColumnRenamed("lapsed", "label")
-    mi = A.mutual_info_knn(long, MI_NEIGHBOURS)
-    top = A.top_features(mi, TOP_K)
+    long = feature_long(spark, sf_dir).withColumn("x", F.floor(F.col("x") * KNN_MI_GRID + 0.5) / KNN_MI_GRID)
+    top = A.top_features(A.mutual_info_knn(long, MI_NEIGHBOURS), TOP_K)
     return round_floats(top.select("feature", "mi", F.col("rank").cast("int")))
