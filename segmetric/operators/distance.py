@@ -67,12 +67,11 @@ def _block_pairs(left: DataFrame, right: DataFrame, nl: int, nr: int) -> tuple[D
     return lx.repartition(n, "lb", "rb"), rx.repartition(n, "lb", "rb")
 
 
-def _self_block_pairs(df: DataFrame, block_rows: int, best, empty, p: int) -> DataFrame:
+def _self_block_pairs(df: DataFrame, nb: int, best, empty, p: int) -> DataFrame:
     """Blocked self-join over pairs lb <= rb: a row of block b is copied to the
     left of (b, r) for r >= b and to the right of (l, b) for l <= b (nb + 1
     copies instead of 2 nb); each off-diagonal distance block serves both its
     row block and its column block."""
-    nb = _n_blocks(df, block_rows)
     base = df.select(*[F.col(c).alias(c) for c in df.columns])
     blk = F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")
     lx = base.select("*", blk.alias("lb")).select("*", F.explode(F.sequence(F.col("lb"), F.lit(nb - 1))).alias("rb"))
@@ -96,11 +95,20 @@ def _self_block_pairs(df: DataFrame, block_rows: int, best, empty, p: int) -> Da
 
 # ---------------------------------------------------------------- J4 exact kNN
 def knn_join(query: DataFrame, ref: DataFrame, k: int, p: int = 2, block_rows: int = 512,
-             exclude_self: bool = False) -> DataFrame:
+             exclude_self: bool = False, max_block_pairs: int = 4096) -> DataFrame:
     """k nearest ``ref`` rows of every ``query`` row: (query_id, neighbor_id, rank, distance).
 
     Inputs are (id, vec). Ties are broken by neighbour id; the query row itself
-    counts as a neighbour when it is in ``ref`` unless ``exclude_self``."""
+    counts as a neighbour when it is in ``ref`` unless ``exclude_self``. Beyond
+    ``max_block_pairs`` block pairs a pivot index prunes, with the same result."""
+    same = query is ref
+    nl = _n_blocks(query, block_rows)
+    nr = nl if same else _n_blocks(ref, block_rows)
+    if nl * nr > max_block_pairs:
+        from segmetric.operators.metric_index import pivot_index
+
+        return pivot_index(ref, p=p, block_rows=block_rows).knn(query, k, exclude_self)
+
     def best(qid, rid, d):
         if exclude_self:
             d = np.where(qid[:, None] == rid[None, :], np.inf, d)
@@ -112,11 +120,10 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, p: int = 2, block_rows: i
         return out[np.isfinite(out["distance"])]
 
     empty = pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []})
-    if query is ref:
+    if same:
         # self join: only block pairs lb <= rb; an off-diagonal pair answers both sides
-        part = _self_block_pairs(query.select("id", "vec"), block_rows, best, empty, p)
+        part = _self_block_pairs(query.select("id", "vec"), nl, best, empty, p)
     else:
-        nl, nr = _n_blocks(query, block_rows), _n_blocks(ref, block_rows)
         lx, rx = _block_pairs(query.select("id", "vec"), ref.select("id", "vec"), nl, nr)
 
         def top_k(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

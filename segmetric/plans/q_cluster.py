@@ -15,6 +15,7 @@ from segmetric.operators import cluster as K
 from segmetric.operators import distance as D
 from segmetric.operators import prep as X
 from segmetric.operators.classify import knn_scores
+from segmetric.operators.metric_index import pivot_index
 from segmetric.operators.quantiles import quantiles_long
 from segmetric.operators.splits import shuffle_key
 from segmetric.plans.catalog import register
@@ -25,6 +26,7 @@ from segmetric.sources.tables import read_table
 
 # fixed parameters of the checked runs
 KNN_K = 5
+INDEX_BLOCK = 256
 EPS = 1.14
 MIN_SAMPLES = 3
 EPS_QUANTILES = [0.90, 0.93, 0.95, 0.97, 0.99, 0.995, 0.999]
@@ -86,6 +88,19 @@ def q_knn_join(spark, sf_dir):
     return round_floats(nn.select("query_id", "neighbor_id", F.col("rank").cast("int"), "distance"))
 
 
+@register("knn_join_indexed", f"""
+WITH {EMB_SQL},
+d AS (SELECT a.id AS query_id, b.id AS neighbor_id, list_distance(a.v, b.v) AS distance FROM e a, e b WHERE a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM d)
+SELECT query_id, neighbor_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance FROM r WHERE rank <= {KNN_K}
+""")
+def q_knn_join_indexed(spark, sf_dir):
+    """Nearest other rows over the pivot index, at every size of the table."""
+    v = embeddings(spark, sf_dir)
+    nn = pivot_index(v, block_rows=INDEX_BLOCK).knn(v, KNN_K, exclude_self=True)
+    return round_floats(nn.select("query_id", "neighbor_id", F.col("rank").cast("int"), "distance"))
+
+
 # ---------------------------------------------------------------- J5
 @register("eps_pairs", f"""
 WITH {EMB_SQL}, {_pairs_sql(EPS)}
