@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from segmetric.operators import evaluate as E
 from segmetric.operators import threshold as T
+from segmetric.operators.isotonic import isotonic_pools
 from segmetric.plans.catalog import register
 from segmetric.plans.common import round_floats
 from segmetric.sources.tables import read_table
@@ -127,6 +128,25 @@ def q_roc_auc(spark, sf_dir):
     return round_floats(E.roc_auc(doc_scores(spark, sf_dir), ["model", "split"]))
 
 
+# ------------------------------------------------------------------ M7
+@register("isotonic_pools", f"""
+WITH {SCORES_SQL},
+g AS (SELECT model, score, count(*) AS n, sum(label) AS y FROM sc WHERE split = 'train' GROUP BY model, score),
+c AS (SELECT *, sum(n) OVER w AS cn, sum(y) OVER w AS cy FROM g WINDOW w AS (PARTITION BY model ORDER BY score)),
+m AS (SELECT a.model, b.score, min((b.cy - a.cy + a.y) / CAST(b.cn - a.cn + a.n AS DOUBLE))
+             OVER (PARTITION BY a.model, a.score ORDER BY b.score DESC) AS least
+      FROM c a JOIN c b ON a.model = b.model AND a.score <= b.score),
+f AS (SELECT model, score, max(least) AS value FROM m GROUP BY model, score)
+SELECT model, round(min(score), 6) AS lo, round(max(score), 6) AS hi, CAST(sum(n) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS y,
+       round(value, 6) AS value
+FROM f JOIN g USING (model, score) GROUP BY model, value
+""")
+def q_isotonic_pools(spark, sf_dir):
+    train = doc_scores(spark, sf_dir).where(F.col("split") == "train")
+    pools = [isotonic_pools(train.where(F.col("model") == m)).select(F.lit(m).alias("model"), "*") for m in ("length", "brevity")]
+    return round_floats(pools[0].unionByName(pools[1]))
+
+
 # ------------------------------------------------------------------ M4
 @register("threshold_sweep", f"""
 WITH {SCORES_SQL}, {SWEEP_SQL}
