@@ -397,13 +397,14 @@ def fit_boosted(rows: DataFrame, models: list[BoostedModel], local_bytes: int =
     return [Fitted(m, s, t) for m, s, t in zip(models, starts, trees)]
 
 
-def score(fitted: Fitted) -> F.Column:
-    """Probability of label 1 from the model's column of bins."""
+def score(fitted: Fitted, margin: bool = False) -> F.Column:
+    """Probability of label 1 from the model's column of bins, or its log-odds with ``margin``."""
     @F.pandas_udf("double")
     def run(bins: pd.Series) -> pd.Series:
         if not len(bins):
             return pd.Series([], dtype="float64")
-        return pd.Series(1 / (1 + np.exp(-np.clip(fitted.margins(_matrix(bins))[0], -500, 500))))
+        z = fitted.margins(_matrix(bins))[0]
+        return pd.Series(z if margin else 1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
     return run(F.col(fitted.model.view))
 

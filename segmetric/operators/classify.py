@@ -143,13 +143,15 @@ def _reduce(spec: dict, train: DataFrame, data: DataFrame, label: str):
     return swap(train), swap(data)
 
 
-def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "label") -> DataFrame:
+def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "label", margin: bool = False) -> DataFrame:
     """Fit on ``train`` (weighted when applicable) and score ``data``.
 
     Inputs carry (row_id, features vector, label); returns (row_id, score, pred).
     Balanced weights are used for class_weight='balanced' and where the spec names
     none; with class_weight=None every row weighs 1.
-    ``spec['reduce']`` adds a reduction stage fitted on ``train`` first."""
+    ``spec['reduce']`` adds a reduction stage fitted on ``train`` first. With ``margin`` the score of
+    a learner that has a decision value (``logreg``, ``hgb``) is that value, its log-odds; others keep
+    their probability."""
     train, data = _reduce(spec, train, data, label)
     kind, params = spec["kind"], dict(spec.get("params", {}))
     if kind == "knn":
@@ -163,9 +165,9 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
     if balanced not in (None, "balanced"):
         raise ValueError(f"unknown class_weight {balanced!r}")
     if kind == "logreg":
-        return _fit_logistic(params, bool(balanced), train, data)
+        return _fit_logistic(params, bool(balanced), train, data, margin)
     if kind in ("hgb", "xgb"):
-        return _fit_boosted(kind, params, bool(balanced), train, data)
+        return _fit_boosted(kind, params, bool(balanced), train, data, margin and kind == "hgb")
     tw = with_class_weight(train, "label", "weight") if balanced else train.withColumn("weight", F.lit(1.0))
     tw = spread(tw).cache()
     if int(params.get("n_estimators", 400)) > _TREES_PER_JOB:
@@ -177,7 +179,7 @@ def fit_and_score(spec: dict, train: DataFrame, data: DataFrame, label: str = "l
     return out.select("row_id", "score", "pred")
 
 
-def _fit_logistic(params: dict, balanced: bool, train: DataFrame, data: DataFrame) -> DataFrame:
+def _fit_logistic(params: dict, balanced: bool, train: DataFrame, data: DataFrame, margin: bool = False) -> DataFrame:
     """One model of ``logistic.fit_logistic``, scored as an expression."""
     rows = train.select("label", F.lit(0).alias("fold"), vector_to_array("features").alias("x"))
     rows = spread(rows, rows_per_task=_ROWS_PER_TASK).cache()
@@ -186,11 +188,11 @@ def _fit_logistic(params: dict, balanced: bool, train: DataFrame, data: DataFram
     coefficients = F.array(*[F.lit(float(c)) for c in w[:-1]])
     z = F.aggregate(F.zip_with(vector_to_array("features"), coefficients, lambda a, b: a * b), F.lit(float(w[-1])),
                     lambda a, b: a + b)
-    return data.select("row_id", z.alias("__z")).select(
-        "row_id", (1 / (1 + F.exp(-F.col("__z")))).alias("score"), (F.col("__z") > 0).cast("int").alias("pred"))
+    said = F.col("__z") if margin else 1 / (1 + F.exp(-F.col("__z")))
+    return data.select("row_id", z.alias("__z")).select("row_id", said.alias("score"), (F.col("__z") > 0).cast("int").alias("pred"))
 
 
-def _fit_boosted(kind: str, params: dict, balanced: bool, train: DataFrame, data: DataFrame) -> DataFrame:
+def _fit_boosted(kind: str, params: dict, balanced: bool, train: DataFrame, data: DataFrame, margin: bool = False) -> DataFrame:
     """One model of ``boosting.fit_boosted``; class 1 where the log-odds are above 0."""
     rows = train.select(F.xxhash64("row_id").alias("key"), "label", F.lit(0).alias("fold"), vector_to_array("features").alias("x"))
     edges = bin_edges(rows, {"x": None})["x"]
@@ -198,7 +200,8 @@ def _fit_boosted(kind: str, params: dict, balanced: bool, train: DataFrame, data
     fitted = fit_boosted(rows, [boosted_model(kind, "x", balanced=balanced, **params)])[0]
     rows.unpersist()
     out = data.select("row_id", vector_to_array("features").alias("x")).withColumn("x", binned("x", edges))
-    return out.select("row_id", score(fitted).alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+    return out.select("row_id", score(fitted, margin).alias("score")).withColumn(
+        "pred", (F.col("score") > (0.0 if margin else 0.5)).cast("int"))
 
 
 _TREES_PER_JOB = 100
