@@ -111,3 +111,23 @@ def test_settings_of_another_form_are_refused():
     with pytest.raises(ValueError):
         boosted_model("xgb", "x", max_leaf_nodes=5)
     assert boosted_model("hgb", "x").depth is None and boosted_model("xgb", "x").least_rows == 1
+
+
+@pytest.mark.parametrize("slots", [np.arange(14), np.array([0, 4, 11, 13])])
+def test_packed_sums_are_those_of_every_slot_and_siblings_are_known_by_difference(slots, monkeypatch):
+    rnd = np.random.default_rng(4)
+    bins = np.column_stack([rnd.integers(0, 256, (500, 2)), rnd.integers(0, 2, (500, 11)), np.zeros(500)]).astype(np.uint8)
+    g, h, node = np.rint(rnd.normal(size=500) * B.SCALE), np.rint(rnd.random(500) * B.SCALE), rnd.integers(0, 5, 500)
+    got = B.partial_sums(B.Packed(bins), g, h, node, [4, 1], slots)
+    for i, n in enumerate([4, 1]):
+        for j, s in enumerate(slots):
+            for k, v in enumerate((g, h, np.ones(500))):
+                assert (got[k, i, j] == np.bincount(bins[node == n, s], v[node == n], 256)).all()
+    m, two = B.BoostedModel("x", least_rows=5), B.Packed(bins).two[slots]
+    for a, b in zip(B.best_cuts(got, m, two), B.best_bins(got, m)):
+        assert (a == b).all()
+    read, plain = [], B.partial_sums
+    monkeypatch.setattr(B, "partial_sums", lambda p, g, h, at, ask, slots: read.append(np.isin(at, ask).sum()) or plain(p, g, h, at, ask, slots))
+    table = {"label": (bins[:, 0] > 100).astype(int) ^ (rnd.random(500) < 0.2), "fold": np.zeros(500, int), "key": np.arange(500), "x": bins}
+    B._fit_one(B.BoostedModel("x", rounds=1, depth=2, leaves=None, least_rows=1), 0.0, (1.0, 1.0), table)
+    assert read[0] == 500 and read[1] <= 250  # the larger child is not read again
