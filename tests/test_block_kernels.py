@@ -78,3 +78,26 @@ def test_dbscan_makes_no_table_of_pairs(spark, monkeypatch, copies):
         x[60:100] = x[10]
     got = dict(K.dbscan(_points(spark, x), 0.25, 4, block_rows=16).select("id", "cluster").collect())
     assert [got[i] for i in range(len(x))] == list(_sk_dbscan(x, 0.25, 4))
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e4])
+def test_single_precision_products_decide_nothing_that_their_digits_cannot(shift):
+    rnd = np.random.default_rng(11)
+    y = np.repeat(rnd.normal(size=(150, 5)), 9, axis=0) + shift
+    x = np.concatenate([y[::7], rnd.normal(size=(60, 5)) + shift, y[:40] + 1e-9])
+    qid, rid = np.arange(len(x)), np.arange(len(y)) % 700
+    near = D.Near(x, y, single=True)
+    assert near.left.dtype == np.float32
+    for exclude in (False, True):
+        want = []
+        d = D.pair_distances(x, y)
+        d[(qid[:, None] == rid) & exclude] = np.inf
+        for i in range(len(x)):
+            best = np.lexsort((rid, d[i]))[:6]
+            want += [(i, rid[j], d[i, j]) for j in best]
+        got = list(zip(*D.nearest_in_block(qid, x, rid, y, 6, exclude_self=exclude)))
+        assert got == want
+    eps = float(np.quantile(D.pair_distances(x, y), 0.01))
+    got = sorted(zip(*(np.concatenate(c) for c in zip(*D.within_in_block(x, y, eps)))))
+    d = D.pair_distances(x, y)
+    assert got == [(i, j, d[i, j]) for i, j in zip(*np.nonzero(d <= eps))]
