@@ -28,3 +28,16 @@ def test_neighbour_information_runs_over_different_values(spark, monkeypatch):
         m = [(np.abs(x - x[i]) < r).sum() if r > 0 else (x == x[i]).sum() for i, r in enumerate(rad)]
         want = psi(len(x)) + np.mean([psi(k[c]) - psi((y == c).sum()) for c in y]) - np.mean([psi(c) for c in m])
         assert abs(got[f] - max(want, 0)) < 1e-6, f
+
+
+def test_logistic_sums_take_one_exponential_and_hold_far_out(monkeypatch):
+    import pandas as pd
+    def refused(*_):
+        raise AssertionError("a second exponential")
+    monkeypatch.setattr(np, "logaddexp", refused)
+    x, y = np.array([[-900.0], [-3.0], [0.0], [2.0], [800.0]]), np.array([1.0, 0.0, 1.0, 1.0, 0.0])
+    pdf = pd.DataFrame({"x": list(x), "label": y, "fold": 0})
+    out = next(L._sums([(0, L.LogisticModel("x"), np.array([1.0, 0.0]), (1.0, 1.0))])([pdf]))["value"].to_numpy()
+    z = x[:, 0]
+    loss = np.where(z > 0, z + np.log1p(np.exp(-np.abs(z))), np.log1p(np.exp(-np.abs(z)))) - y * z
+    assert abs(out[0] - loss.sum()) < 1e-9 and abs(out[2] - (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y).sum()) < 1e-12
