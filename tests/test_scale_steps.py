@@ -30,6 +30,28 @@ def test_neighbour_information_runs_over_different_values(spark, monkeypatch):
         assert abs(got[f] - max(want, 0)) < 1e-6, f
 
 
+def test_lloyd_rounds_compute_their_columns_once(spark):
+    rnd = np.random.default_rng(4)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(x):
+        read.add(1)
+        return x
+
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rnd.normal(size=90))], "row_id long, a double")
+    df = df.withColumn("b", seen("a"))
+    labels, centres = K.lloyd_kmeans(df, ["b"], [[0.0], [0.01], [0.02]])
+    assert read.value == 90 and len(centres) == 3
+    assert all(r.cluster == int(np.argmin([(r.a - c[0]) ** 2 for c in centres])) for r in labels.collect())
+
+
+def test_nearest_centre_takes_the_smaller_of_equal_ones(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (None,), (float("nan"),)], "a double")
+    got = [r[0] for r in df.select(K.nearest_centre(["a"], [[2.0], [0.0], [0.0]])).collect()]
+    assert got == [1, 0, 0, 0, 0]
+
+
 def test_logistic_sums_take_one_exponential_and_hold_far_out(monkeypatch):
     import pandas as pd
     def refused(*_):
