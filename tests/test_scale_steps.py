@@ -52,6 +52,14 @@ def test_nearest_centre_takes_the_smaller_of_equal_ones(spark):
     assert got == [1, 0, 0, 0, 0]
 
 
+def test_kmeans_fits_use_no_more_tasks_than_two_a_core(spark, monkeypatch):
+    df = spark.range(400).repartition(90).select(array_to_vector(F.array((F.col("id") % 7).cast("double"))).alias("features"))
+    seen, plain = [], K.KMeans.fit
+    monkeypatch.setattr(K.KMeans, "fit", lambda self, data, *a: seen.append(data.rdd.getNumPartitions()) or plain(self, data, *a))
+    K.fit_kmeans(df, 2, n_init=2)
+    assert len(seen) == 2 and max(seen) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_logistic_sums_take_one_exponential_and_hold_far_out(monkeypatch):
     import pandas as pd
     def refused(*_):
